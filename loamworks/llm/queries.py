@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, dac, langid, toxicity
+from . import byte_bpe, dac, langid, oracles, setsketch, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.groups(table(spark, sf_dir, "documents"))
+
+
 def op6_recursive_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -39,4 +43,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_setsketch_near_duplicates": oracles.NEAR_DUPLICATES}

@@ -22,3 +22,56 @@ low AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, low.component_id, d.doc_id = low.component_id AS kept
 FROM documents d JOIN low ON low.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+LINE_QUALITY = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce('h' || source, '') AS host FROM documents),
+w AS (
+    SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM t),
+windows AS (
+    SELECT doc_id, unnest(range(0, len(words) - 4)) AS p, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS s
+    FROM w WHERE len(words) >= 5),
+twice AS (SELECT doc_id, p FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM twice, range(0, 5) AS r(k) GROUP BY doc_id),
+each AS (
+    SELECT doc_id, host, text, unnest(lines) AS raw FROM w),
+line AS (
+    SELECT doc_id, host, text, trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
+        len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+    FROM each),
+common AS (SELECT host, line FROM line GROUP BY host, line HAVING count(DISTINCT text) > 10),
+lost AS (
+    SELECT doc_id, sum(words) AS n, sum(CASE WHEN c.line IS NOT NULL THEN words ELSE 0 END) AS removed
+    FROM line l LEFT JOIN common c ON c.host = l.host AND c.line = l.line GROUP BY doc_id),
+base AS (
+    SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+        (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+    FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT f.*, NOT base_failed AND NOT coalesce(100 * removed > 50 * n, false) AS kept, coalesce(removed, 0)::BIGINT AS n_removed_words
+FROM failed f LEFT JOIN lost l ON l.doc_id = f.doc_id
+"""
+
+SPACED_SEEDS = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS p FROM d),
+iw AS (SELECT item_id, len(w) AS m, least(20, len(w)) AS reach, unnest(w) AS x, unnest(range(0, len(w))) AS q FROM i WHERE len(w) >= 9),
+same AS (
+    SELECT doc_id, item_id, m, reach, p - q AS shift, list(q ORDER BY q) AS qs
+    FROM dw JOIN iw USING (x) GROUP BY doc_id, item_id, m, reach, p - q HAVING count(*) >= 0.75 * any_value(reach)),
+stretch AS (SELECT *, unnest(range(0, m - reach + 1)) AS s FROM same),
+good AS (
+    SELECT * FROM stretch
+    WHERE 100 * len(list_filter(qs, lambda q: q >= s AND q < s + reach)) >= 75 * reach
+      AND len(list_filter(range(s, s + reach - 8), lambda p: list_has_all(qs, [p, p + 1, p + 3, p + 4, p + 6, p + 8]) OR list_has_all(qs, [p, p + 2, p + 4, p + 5, p + 7, p + 8]))) > 0),
+hits AS (
+    SELECT DISTINCT doc_id, item_id FROM good
+    UNION
+    SELECT doc_id, item_id FROM d JOIN i ON d.w = i.w WHERE len(d.w) BETWEEN 1 AND 8)
+SELECT d.doc_id, count(h.item_id) AS n_items, min(h.item_id) AS first_item, count(h.item_id) = 0 AS kept
+FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id
+"""

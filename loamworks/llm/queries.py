@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, dac, langid, oracles, setsketch, toxicity
+from . import byte_bpe, dac, langid, line_quality, oracles, setsketch, spaced_seeds, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op3_word_first_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -38,9 +42,17 @@ def op8_addressable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.round_trip(spark, table(spark, sf_dir, "documents"), public.path("word_bpe_49k.json"))
 
 
+def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_setsketch_near_duplicates": oracles.NEAR_DUPLICATES}
+    return {
+        "op1_line_frequency_quality": oracles.LINE_QUALITY,
+        "op5_setsketch_near_duplicates": oracles.NEAR_DUPLICATES,
+        "op10_spaced_seed_decontamination": oracles.SPACED_SEEDS,
+    }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Bytes of text handled at once; one longer text is handled on its own.
 SLICE_BYTES = 4 << 20
 #: Entries of a per-worker cache before it is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -74,5 +74,13 @@ class Bounded(dict):
         return value
 
     def trim(self) -> None:
-        if len(self) > self.limit:
-            self.clear()
+        forget_long(self, self.limit)
+
+
+def forget_long(known: dict, limit: int, length: int = 9) -> None:
+    """Empty a full cache but for its short keys, which come again most often."""
+    if len(known) > limit:
+        short = {k: v for k, v in known.items() if len(k) <= length}
+        known.clear()
+        if len(short) <= limit // 2:
+            known.update(short)

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, dac, langid, line_quality, oracles, setsketch, spaced_seeds, toxicity
+from . import byte_bpe, dac, langid, line_quality, oracles, pseudonyms, secrets, setsketch, spaced_seeds, toxicity, trie_counts
+
+#: The key of the registered query; a real run gives its own.
+PSEUDONYM_KEY = b"loamworks"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +20,11 @@ def op1_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.spans(docs, secrets.fit(docs))
+
+
 def op3_word_first_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -36,12 +44,22 @@ def op6_recursive_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(table(spark, sf_dir, "documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
 
 
+def op7_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return trie_counts.count(table(spark, sf_dir, "documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
+
+
 def op8_addressable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     return dac.round_trip(spark, table(spark, sf_dir, "documents"), public.path("word_bpe_49k.json"))
 
 
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

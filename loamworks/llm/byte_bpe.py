@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .arrow import CACHE_ENTRIES, map_text
+from .arrow import CACHE_ENTRIES, forget_long, map_text
 
 #: Bytes from which on a pre-token is contracted with a heap.
 LONG_WORD = 512
@@ -154,14 +154,13 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
+        forget_long(self.known, CACHE_ENTRIES)
         out = []
         cut = [self.split.findall(t) for t in texts]
         new: set[str] = set()
         for words in cut:
             new.update(words)
-        self.learn(new - self.known.keys())
+        self.learn({w for w in new if w not in self.known})
         for words in cut:
             out.append(b"".join(map(self.known.__getitem__, words)))
         return out
@@ -244,16 +243,20 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encode, then decode the ids, in one pass."""
+def digest(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encode, then decode the ids, in one pass.
+
+    With ``ids`` the packed ids come too.
+    """
 
     def work(c: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = c.encode([x or "" for x in batch.column("text").to_pylist()])
-        back = c.decode(ids)
+        packed = c.encode([x or "" for x in batch.column("text").to_pylist()])
+        back = c.decode(packed)
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array(map(sha, back), pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) // 4 for x in packed], pa.int64()), "ids_sha256": pa.array(map(sha, packed), pa.string()), "decoded_sha256": pa.array(map(sha, back), pa.string())}
+        if ids:
+            columns["ids"] = pa.array(packed, pa.binary())
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return map_text(docs, _worker(path, pattern, work), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_text(docs, _worker(path, pattern, work), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids)

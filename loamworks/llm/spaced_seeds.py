@@ -57,16 +57,44 @@ def exploded(rows: DataFrame, *carried: str) -> DataFrame:
     return rows.withColumn("at", F.floor(F.col("k") / len(MASKS)).cast("int")).drop("k")
 
 
-def _agrees(item: str, words: str, item_at: str, at: str) -> Column:
-    """Whether some stretch around the hit agrees well enough."""
-    x, y, p = F.col(item), F.col(words), F.col(item_at)
-    shift = F.col(at) - p
-    reach = F.least(F.lit(REACH), F.size(x))
+#: Words around a hit that any stretch with the hit can reach.
+NEAR = 2 * REACH - SPAN
+
+
+def _around(hits: DataFrame) -> DataFrame:
+    """Hits with only the words near them, on both sides: a few hundred bytes a row.
+
+    Slices are generated code, so they are cut inside the join's stage and a
+    long document's words never leave it.
+    """
+    low = hits.withColumn("low", F.greatest(F.lit(0), F.col("item_at") + SPAN - REACH)).withColumn("start", F.col("low") + F.col("at") - F.col("item_at"))
+    return low.select(
+        "doc_id", "digest", "item_id", (F.col("item_at") - F.col("low")).alias("p"), (F.size("item") - F.col("low")).alias("rest"), F.least(F.lit(REACH), F.size("item")).alias("reach"),
+        F.slice("item", F.col("low") + 1, F.lit(NEAR)).alias("x"), F.slice("words", F.greatest(F.lit(0), F.col("start")) + 1, F.lit(NEAR)).alias("y"), F.greatest(F.lit(0), -F.col("start")).alias("gap"),
+    )
+
+
+def _agrees() -> Column:
+    """Whether some stretch around a hit agrees well enough.
+
+    Tests of both sizes keep the slices from being computed inside the lambdas.
+    """
+    x, y, p, reach = map(F.col, ("x", "y", "p", "reach"))
     first = F.greatest(F.lit(0), p + SPAN - reach)
-    last = F.greatest(first, F.least(p, F.size(x) - reach))
-    same = lambda o: F.when((o + shift >= 0) & (F.get(x, o) == F.get(y, F.greatest(F.lit(0), o + shift))), 1).otherwise(0)
+    last = F.greatest(first, F.least(p, F.col("rest") - reach))
+    same = lambda o: F.when((o >= F.col("gap")) & (F.get(x, o) == F.get(y, o - F.col("gap"))), 1).otherwise(0)
     count = lambda s: F.aggregate(F.sequence(s, s + reach - 1), F.lit(0), lambda a, o: a + same(o))
-    return F.exists(F.sequence(first, last), lambda s: 100 * count(s) >= AGREE_PERCENT * reach)
+    return (F.size(x) >= SPAN) & (F.size(y) > 0) & F.exists(F.sequence(first, last), lambda s: 100 * count(s) >= AGREE_PERCENT * reach)
+
+
+def _confirmed(hits: DataFrame) -> DataFrame:
+    """``doc_id, digest, item_id`` of hits that agree.
+
+    An aggregate rather than a filter: a filter would become part of the join,
+    which then isn't generated code and would buffer every window with its words.
+    """
+    best = _around(hits).groupBy("doc_id", "digest", "item_id").agg(F.max(_agrees()).alias("agrees"))
+    return best.filter("agrees").select("doc_id", "digest", "item_id")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -80,11 +108,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         # The words ride along inside the stage; only confirmed hits leave it.
         hits = exploded(rows, "doc_id", "digest", "words").join(F.broadcast(seeds), "seed")
-        found = hits.filter(_agrees("item", "words", "item_at", "at")).select("doc_id", "digest", "item_id")
+        found = _confirmed(hits)
     else:
         thin = exploded(rows, "doc_id", "digest").join(seeds.drop("item"), "seed").select("doc_id", "digest", "item_id", "at", "item_at").distinct()
         hits = thin.join(items, "item_id").join(rows.select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), "words").distinct(), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")))
-        found = hits.filter(_agrees("item", "words", "item_at", "at")).select("doc_id", "digest", "item_id")
+        found = _confirmed(hits)
     return found.union(exact).distinct()
 
 

@@ -17,7 +17,6 @@ name; repeated rows give repeated results; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from .arrow import map_text, slices
 from .folds import bounded_sample, held_out
 
-DOCS_A_LANGUAGE = 3_000
+DOCS_A_LANGUAGE = 2_000
 WORDS_A_LANGUAGE = 20_000
 GRAMS_A_LANGUAGE = 20_000
 LONGEST_GRAM = 5
@@ -108,6 +107,74 @@ class Model:
         return self.judge(sum(map(self.chunk_score, (text or "").split()), np.zeros(len(self.langs) + 1)))
 
 
+class ChunkTable:
+    """Scores of white-space-free chunks, remembered by one worker.
+
+    New chunks of a slice are scored together: each word gives a run of rows of
+    the model's matrix (the word's own, or its n-grams'), averaged at once.
+    """
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        width = len(model.langs)
+        items = [*model.words.values(), *model.grams.values()]
+        self.matrix = np.array(items).reshape(len(items), width)
+        self.word_rows = {w: i for i, w in enumerate(model.words)}
+        self.gram_rows = {g: len(model.words) + i for i, g in enumerate(model.grams)}
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((0, width + 1))
+
+    def word_run(self, word: str) -> list[int]:
+        """Rows to average for one word; empty when even its letters are new."""
+        row = self.word_rows.get(word)
+        if row is not None:
+            return [row]
+        marked, find = f"<{word}>", self.gram_rows.get
+        for n in range(min(LONGEST_GRAM, len(marked)), 0, -1):
+            found = [x for i in range(len(marked) - n + 1) if (x := find(marked[i : i + n])) is not None]
+            if found:
+                return found
+        return []
+
+    def learn(self, new: list[str]) -> None:
+        flat: list[int] = []
+        sizes: list[int] = []
+        owners: list[int] = []
+        letters = np.zeros(len(new))
+        for k, chunk in enumerate(new):
+            words = [chunk.lower()] if chunk.isalpha() and len(chunk) <= WORD_RUN else words_of(chunk)
+            letters[k] = len(words)
+            for w in words:
+                run = self.word_run(w)
+                if run:
+                    flat += run
+                    sizes.append(len(run))
+                    owners.append(k)
+        fresh = np.zeros((len(new), self.rows.shape[1]))
+        if flat:
+            size = np.array(sizes)
+            means = np.add.reduceat(self.matrix[flat], np.cumsum(size) - size, axis=0) / size[:, None]
+            np.add.at(fresh[:, :-1], owners, means)
+        fresh[:, -1] = letters
+        start = len(self.rows)
+        self.rows = np.concatenate((self.rows, fresh))
+        self.known.update(zip(new, range(start, start + len(new)), strict=True))
+
+    def places(self, cut: list[list[str]]) -> np.ndarray:
+        """Row of every chunk, in order."""
+        if len(self.known) > CHUNKS:
+            short = [(c, i) for c, i in self.known.items() if len(c) <= 9][: CHUNKS // 2]
+            self.rows = self.rows[[i for _, i in short]]
+            self.known = {c: i for i, (c, _) in enumerate(short)}
+        flat = [c for chunks in cut for c in chunks]
+        found = list(map(self.known.get, flat))
+        missed = [i for i, x in enumerate(found) if x is None]
+        self.learn(list({flat[i] for i in missed}))
+        for i in missed:
+            found[i] = self.known[flat[i]]
+        return np.array(found, dtype=np.int64)
+
+
 def counts(rows: DataFrame) -> DataFrame:
     """``kind, lang, item, n`` over the texts of ``rows(lang, text)``, summed."""
 
@@ -147,25 +214,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the limits above
 
     def make():
-        m = shared.value
-        width = len(m.langs) + 1
-        known: dict[str, int] = {}
-        table = np.zeros((1 << 12, width))
+        table = ChunkTable(shared.value)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal table
-            if len(known) > CHUNKS:
-                known.clear()
+            cut = [(text or "").split() for text in batch.column("text").to_pylist()]
+            at = table.places(cut)
+            ends = np.cumsum([len(c) for c in cut])
             names, scores = [], []
-            for text in batch.column("text").to_pylist():
-                chunks = (text or "").split()
-                for c in set(chunks) - known.keys():
-                    if len(known) == len(table):
-                        table = np.concatenate((table, np.zeros_like(table)))
-                    table[len(known)] = m.chunk_score(c)
-                    known[c] = len(known)
-                at = np.fromiter(map(known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-                name, score = m.judge(table[at].sum(axis=0))
+            for chunks, end in zip(cut, ends.tolist(), strict=True):
+                name, score = table.model.judge(table.rows[at[end - len(chunks) : end]].sum(axis=0))
                 names.append(name)
                 scores.append(score)
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
@@ -181,8 +238,3 @@ def identify(docs: DataFrame) -> DataFrame:
     """Fit on the training rows of ``docs(doc_id, text, lang)``, then predict all of them."""
     return predict(docs, fit(docs))
 
-
-def perplexed(model: Model, text: str) -> float:
-    """Mean log score a word of the best language; for looking at a model."""
-    words = words_of(text)
-    return max(sum(map(model.word_score, words), np.zeros(len(model.langs)))) / len(words) if words and model.langs else -math.inf

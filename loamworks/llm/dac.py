@@ -19,6 +19,7 @@ order; other columns are ignored; an empty table gives no segments.
 from __future__ import annotations
 
 import itertools
+import re
 import struct
 import uuid
 import zlib
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrow import Bounded, raw_texts, slices
+from .arrow import forget_long, raw_texts, slices
 from .shared import shared_dir
 
 MAGIC = b"DACS"
@@ -108,31 +109,63 @@ class WordEncoder:
     """Ids by the tokenizers library, one white-space-separated chunk at a time.
 
     The tokenizer's normaliser, splitter and merges never look across ASCII
-    white space, so chunks can be encoded once and remembered.
+    white space, so chunks can be encoded once and remembered.  Two more
+    equalities make chunks repeat: the normaliser lower-cases, so A-Z may be
+    lower-cased first (not in texts that could hold a special token), and its
+    splitter cuts between a letter and punctuation other than an apostrophe.
+    New chunks that are one Latin word each are encoded many to a call; every
+    word ends with the only piece that carries the word-end mark.
     """
 
+    #: Chunks remembered by a worker.
+    LIMIT = 800_000
+    WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
+    BOUNDARY = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])")
+    WORD_END = "</w>"
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Bounded(self._one)
-
-    def _one(self, chunk: bytes) -> bytes:
-        return self._pack(self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids)
-
-    @staticmethod
-    def _pack(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(self.WORD_END)]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def chunks(self, text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        return self.BOUNDARY.sub(b" ", text.lower()).split()
+
+    def learn(self, new: list[bytes]) -> None:
+        words, others = [], []
+        for x in new:
+            (words if x.isalpha() or self.WORD.fullmatch(x.decode("utf-8", "replace")) else others).append(x)
+        for i in range(0, len(words), 2_000):
+            part = words[i : i + 2_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                others += part
+                continue
+            packed, ends = ids.tobytes(), (4 * cuts).tolist()
+            self.known.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        for i in range(0, len(others), 5_000):
+            part = others[i : i + 5_000]
+            for x, got in zip(part, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in part], add_special_tokens=False), strict=True):
+                self.known[x] = np.array(got.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        self.known.trim()
-        cut = [t.split() for t in texts]
-        new = list(set(itertools.chain.from_iterable(cut)) - self.known.keys())
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in part], add_special_tokens=False), strict=True):
-                self.known[chunk] = self._pack(got.ids)
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        """Packed little-endian unsigned 32-bit ids of each text."""
+        forget_long(self.known, self.LIMIT, 10)
+        cut = [self.chunks(t) for t in texts]
+        flat = list(itertools.chain.from_iterable(cut))
+        found = list(map(self.known.get, flat))
+        missed = [i for i, x in enumerate(found) if x is None]
+        self.learn(list({flat[i] for i in missed}))
+        for i in missed:
+            found[i] = self.known[flat[i]]
+        ends = itertools.accumulate(map(len, cut))
+        return [b"".join(found[b - len(words) : b]) for words, b in zip(cut, ends, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -127,3 +127,23 @@ def compression(docs: DataFrame, by: str, ids: str = "ids", text: str = "text")
     """``by, n_bytes, n_tokens, ratio``: bytes a token."""
     sums = docs.groupBy(by).agg(F.sum(F.octet_length(text)).alias("n_bytes"), F.sum(F.size(ids)).alias("n_tokens"))
     return sums.withColumn("ratio", F.try_divide("n_bytes", "n_tokens"))
+
+
+def save(vocab: DataFrame, path: str) -> None:
+    """A vocabulary as a Parquet table."""
+    vocab.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark, path: str) -> tuple[dict[bytes, int], list[str]]:
+    """Ranks and special tokens of a saved vocabulary."""
+    rows = spark.read.parquet(path).orderBy("token_id").collect()  # a vocabulary is bounded
+    return {bytes(r["bytes"]): r["token_id"] for r in rows if not r["is_special"]}, [bytes(r["bytes"]).decode() for r in rows if r["is_special"]]
+
+
+def start_token(specials: Iterable[str], n_ranks: int) -> int:
+    """The id of ``<|bos|>``, else of ``<|endoftext|>``."""
+    ids = {s: n_ranks + i for i, s in enumerate(specials)}
+    for name in ("<|bos|>", "<|endoftext|>"):
+        if name in ids:
+            return ids[name]
+    raise KeyError("no token that starts documents")

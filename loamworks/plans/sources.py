@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import conversation as V
 from ..functions.sandbox import calculator
 from ..operators import synthesis as J
+from ..operators import tasks
 from ..operators.ordering import numbered
 from ..registry import query
 from ..sources import bibliography, books, chats, results
@@ -206,3 +207,40 @@ def ids_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.transform(F.sequence(F.lit(0), F.length("n_name") - 1), lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
     rows = docs(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), ids.alias("ids"))
     return bpe.decoded(rows, bpe.vocabulary(spark, {bytes([i]): i for i in range(256)}), "id")
+
+
+@query("spelling_examples", """
+WITH w AS (SELECT n_nationkey::BIGINT AS word_no, lower(n_name) AS word FROM nation),
+h AS (SELECT i AS idx, i + 10000000 AS seed FROM range(0, 400) r(i)),
+d AS (SELECT idx, seed, ('0x' || substr(md5('word:' || seed), 1, 7))::BIGINT % 25 AS word_no FROM h)
+SELECT idx, word, CASE WHEN ('0x' || substr(md5('own:' || seed), 1, 7))::BIGINT % 10 < 9 THEN word[(('0x' || substr(md5('place:' || seed), 1, 7))::BIGINT % 1048576) % length(word) + 1] ELSE chr((97 + ('0x' || substr(md5('letter:' || seed), 1, 7))::BIGINT % 26)::INTEGER) END AS letter
+FROM d JOIN w USING (word_no)""")
+def spelling_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and letters of test examples, drawn by hashes."""
+    words = docs(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("word_no"), F.lower("n_name").alias("word"))
+    return tasks.spelling_examples(spark.range(400).withColumnRenamed("id", "idx"), words, "test", 25).select("idx", "word", "letter")
+
+
+@query("spelling_graded", "SELECT 'spelling' AS task, 400::BIGINT AS n, 1.0::DOUBLE AS accuracy")
+def spelling_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples graded against their own worked answers."""
+    words = docs(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("word_no"), F.lower("n_name").alias("word"))
+    rows = tasks.spelling_examples(spark.range(400).withColumnRenamed("id", "idx"), words, "train", 25)
+    replies = rows.select("idx", V.message_text(F.get("messages", F.lit(1))).alias("reply"))
+    task = tasks.Task("spelling", rows.select("idx", F.concat(F.lit("#### "), F.col("answer").cast("string")).alias("answer")), "generative", tasks.numeric_grade)
+    return tasks.evaluate(task, replies)
+
+
+@query("items_by_type", """
+WITH i AS (SELECT o_orderkey AS item, CASE o_orderkey % 3 WHEN 0 THEN 'multiple_choice' WHEN 1 THEN 'schema' ELSE 'language_modeling' END AS t, o_orderkey % 2 AS gold FROM orders),
+m AS (SELECT l_orderkey AS item, l_linenumber % 2 AS option, avg(l_tax) AS m FROM lineitem GROUP BY ALL),
+c AS (SELECT item, arg_min(option, {'m': round(m, 9), 'o': option}) AS choice FROM m GROUP BY item),
+p AS (SELECT l_orderkey AS item, bool_and(l_returnflag <> 'R') AS correct FROM lineitem GROUP BY l_orderkey)
+SELECT i.item, c.choice = i.gold AS correct FROM i JOIN c USING (item) WHERE t <> 'language_modeling' UNION ALL SELECT i.item, p.correct FROM i JOIN p USING (item) WHERE t = 'language_modeling'""")
+def items_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Choices and schemas by least mean loss, completions by agreement of all tokens."""
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "multiple_choice").when(F.col("o_orderkey") % 3 == 1, "schema").otherwise("language_modeling")
+    items = docs(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"), kind.alias("task_type"), (F.col("o_orderkey") % 2).alias("gold"))
+    lines = docs(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "item")
+    losses = lines.groupBy("item", (F.col("l_linenumber") % 2).alias("option")).agg(F.round(F.avg("l_tax"), 9).alias("loss"))
+    return tasks.by_type(items, losses, lines.select("item", F.col("l_returnflag").alias("predicted"), F.when(F.col("l_returnflag") == "R", "-").otherwise(F.col("l_returnflag")).alias("actual")))

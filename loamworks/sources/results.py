@@ -66,3 +66,16 @@ def append_new(rows: DataFrame, path: str, keys: Sequence[str]) -> int:
         fresh.write.mode("append").parquet(path)
     fresh.unpersist()
     return n
+
+
+def write_section(metrics: DataFrame, path: str) -> None:
+    """``metric, value`` numbers as ``- metric: value`` lines; empty values are left out."""
+    from ..operators.metrics import shown
+
+    kept = metrics.filter(F.col("value").isNotNull() & (F.col("value") != 0))
+    kept.select(F.concat(F.lit("- "), F.col("metric"), F.lit(": "), shown(F.col("value"))).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def log_metrics(rows: DataFrame, path: str, run: str) -> None:
+    """Append ``step, metric, value`` rows of a run to a metrics table."""
+    rows.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)

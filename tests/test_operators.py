@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from loamworks.functions import conversation as V
 from loamworks.functions import sandbox
 from loamworks.functions import text as T
-from loamworks.operators import bpe, corpus, metrics, ordering, packing, synthesis
-from loamworks.sources import bibliography, books, chats, results
+from loamworks.operators import bpe, corpus, metrics, ordering, packing, synthesis, tasks
+from loamworks.sources import bibliography, books, chats, downloads, results
 
 
 def slow_pack(rows, capacity, buffer_size, refill, crop, pad):
@@ -135,7 +135,6 @@ def test_shards_on_disk(spark, tmp_path):
 
 
 def test_clean_ocr_boundaries(spark):
-    line = "word%d " * 1
     body = " ".join(f"word{i}" for i in range(300))
     cases = {
         "kept": body, "short": body[:999], "few": "x" * 1200 + " y", "repeats": "same " * 400,
@@ -145,7 +144,6 @@ def test_clean_ocr_boundaries(spark):
     assert got["kept"] == body and got["ligature"].startswith("fi fl s ")
     assert got["garbled"] == body + "\n1234 5678 9012 34567"
     assert [k for k, v in got.items() if v is None] == ["short", "few", "repeats", "null"]
-    del line
 
 
 def test_xml_file(spark, tmp_path):
@@ -213,3 +211,50 @@ def test_common_suffix(spark):
     df = spark.createDataFrame([("g", [1, 2, 3]), ("g", [9, 2, 3])], "g string, x array<int>")
     assert metrics.common_length(df, "g", "x").first().n == 0
     assert metrics.common_length(df, "g", "x", suffix=True).first().n == 2
+
+
+def test_vocabulary_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a banana and a bandana")], "doc_id long, text string")
+    ranks = bpe.train(df, 270, ["<|bos|>"])
+    bpe.save(bpe.vocabulary(spark, ranks, ["<|bos|>"]), str(tmp_path / "v"))
+    assert bpe.load(spark, str(tmp_path / "v")) == (ranks, ["<|bos|>"])
+    assert bpe.start_token(["<|bos|>"], len(ranks)) == len(ranks)
+
+
+def test_downloads(tmp_path):
+    calls, waits = [], []
+
+    def fetch(name):
+        calls.append(name)
+        if len(calls) < 3:
+            raise OSError("no")
+        return b"data"
+
+    assert downloads.download("x", fetch, str(tmp_path), wait=waits.append) and waits == [2.0, 4.0]
+    assert downloads.download("x", fetch, str(tmp_path)) and len(calls) == 3
+    assert not downloads.download("y", lambda n: (_ for _ in ()).throw(OSError()), str(tmp_path), attempts=2, wait=waits.append)
+    assert downloads.download_all(["p", "q"], lambda n: b"1", str(tmp_path)) == {"p": True, "q": True}
+    seen = []
+    downloads.download_locked("z", lambda n: b"1", str(tmp_path), seen.append)
+    downloads.download_locked("z", lambda n: b"1", str(tmp_path), seen.append)
+    assert len(seen) == 1
+
+
+def test_model_retries_and_repairs():
+    replies = iter(["not json", "```json\n{\"a\": 1}\n```"])
+    waits = []
+
+    def flaky(prompt, state={"n": 0}):
+        state["n"] += 1
+        if state["n"] == 1:
+            raise ValueError("busy")
+        return next(replies)
+
+    model = tasks.Model([flaky], wait=waits.append)
+    assert model.json("give") == {"a": 1} and waits == [2.0]
+
+
+def test_report_section(spark, tmp_path):
+    df = spark.createDataFrame([("core", 0.25), ("tokens", 123456.0), ("none", 0.0)], "metric string, value double")
+    results.write_section(df, str(tmp_path / "r"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "r")).collect()) == ["- core: 0.2500", "- tokens: 123,456"]

@@ -9,13 +9,15 @@ can't reach the similarity, and full shingle sets confirm the rest.
 1. Documents with equal shingle sets form a class; one stands for it.
 2. Stars: in every bucket of the first registers' bands, each class is paired
    with the bucket's least class; confirmed links give components.
-3. Rest: in buckets that still hold several components, pairs of different
-   components (one of them outside the bucket's largest) that also share a
-   band of the second registers are tested.  Pairs inside a component can't
-   change the result, so they are never made.
+3. Rest: in buckets that still hold several components, classes of different
+   components (one of them outside the bucket's largest) are compared by size
+   and by two bits of each of the registers; pairs that may be similar leave the
+   join, each from the first bucket it shares, and full sets confirm them.  Pairs inside a component can't change
+   the result, so they are never made.
 
-With 32 bands of 4 registers, a pair at similarity 0.75 escapes a level with
-probability 2.6e-6.  No bucket is capped.
+With 32 bands of 4 registers, a pair at similarity 0.75 escapes the bands with
+probability 2.6e-6, and the two-bit comparison with about 2e-7.  No bucket is
+capped.
 
 Defined results: texts that are null or without words have no links; rows that
 repeat a doc_id get the same component when their texts are equal; a row with a
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow import Bounded, map_text, raw_texts
@@ -39,31 +41,39 @@ from .shared import landed
 from .shingles import mix, shingle_set, word_cache
 
 BANDS, ROWS = 32, 4
-LEVELS = 2
-REGISTERS = LEVELS * BANDS * ROWS
+#: Registers kept whole, for bands and likelihood, and all registers, of which two bits are kept.
+FULL, REGISTERS = 256, 1024
 #: Spacing, rate and largest register value before the last.
 BASE, RATE, Q = 1.001, 20.0, 65_534
 PERCENT = 75
 #: A candidate is dropped when 0.75 or more is this much less likely (log) than the best estimate.
 DOUBT = 16.0
+#: Registers whose two bits may differ in a pair that is still compared: 5.2 deviations at 0.75.
+MOST_DIFFERENT = 257
 #: Ids that may be broadcast: 16 MB of longs; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
-_SEEDS = np.random.default_rng(5).integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SEEDS = np.random.default_rng(5).integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
-    """Least hash of each register; of an empty set the largest value."""
-    low = np.full(REGISTERS, np.iinfo(np.uint64).max)
-    for i in range(0, len(hashes), 512):
-        np.minimum(low, np.multiply.outer(_SEEDS, hashes[i : i + 512]).min(axis=1), out=low)
+    """Least 32-bit hash of each register; of an empty set the largest value.
+
+    The first half of the registers permute the low halves of the 64-bit
+    hashes, the others the high halves, each by its own odd factor.
+    """
+    low = np.full(REGISTERS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    half = REGISTERS // 2
+    for part, words in ((slice(0, half), hashes.astype(np.uint32)), (slice(half, REGISTERS), (hashes >> np.uint64(32)).astype(np.uint32))):
+        for i in range(0, len(words), 512):
+            np.minimum(low[part], np.multiply.outer(_SEEDS[part], words[i : i + 512]).min(axis=1), out=low[part])
     return low
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
     """SetSketch registers of a set of 64-bit hashes."""
-    u = (minima(hashes).astype(np.float64) + 1) / 2.0**64
-    x = -np.log1p(-np.minimum(u, 1 - 2.0**-53)) / RATE
+    u = (minima(hashes).astype(np.float64) + 0.5) / 2.0**32
+    x = -np.log1p(-u) / RATE
     return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, Q + 1).astype(np.uint16)
 
 
@@ -81,7 +91,7 @@ def log_likelihood(more: np.ndarray, less: np.ndarray, u: np.ndarray, j: np.ndar
     p = lambda x: -np.log1p(-np.clip(x, 1e-12, 1) * ((BASE - 1) / BASE)) / np.log(BASE)
     up, down = p(u - v * j), p(v - u * j)
     same = np.clip(1 - up - down, 1e-12, 1)
-    return more * np.log(up) + less * np.log(down) + (REGISTERS - more - less) * np.log(same)
+    return more * np.log(up) + less * np.log(down) + (FULL - more - less) * np.log(same)
 
 
 def plausible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -97,68 +107,105 @@ def plausible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> n
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, d1, d2, regs``: set size, 128-bit digest of the set, registers."""
+    """``doc_id, n, d1, d2, regs, signs``: set size, 128-bit digest of the set, registers, two bits of all registers."""
 
     def make():
         known = word_cache()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             known.trim()
-            n, d1, d2, regs = [], [], [], []
+            n, d1, d2, regs, marks = [], [], [], [], []
             for text in raw_texts(batch.column("text")):
                 s = shingle_set(text, known)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 n.append(len(s))
                 d1.append(int.from_bytes(digest[:8], "little", signed=True))
                 d2.append(int.from_bytes(digest[8:], "little", signed=True))
-                regs.append(registers(s).tobytes() if len(s) else b"")
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(regs, pa.binary())], ["doc_id", "n", "d1", "d2", "regs"])
+                own = registers(s) if len(s) else np.empty(0, dtype=np.uint16)
+                regs.append(own[:FULL].tobytes())
+                marks.append(signs(own).tobytes())
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(regs, pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "n", "d1", "d2", "regs", "signs"])
 
         return work
 
-    return map_text(docs, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, regs binary")
+    return map_text(docs, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, regs binary, signs binary")
 
 
-def band_keys(regs: np.ndarray, level: int) -> np.ndarray:
-    """A 64-bit key for each band of a level, for each row of registers."""
-    part = regs[:, level * BANDS * ROWS : (level + 1) * BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
-    key = np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1 + level * BANDS)
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band, for each row of registers."""
+    part = regs[:, : BANDS * ROWS].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
+    key = np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1)
     for k in range(ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, k])
     return key.astype(np.int64)
 
 
-def banded(sketches: DataFrame, level: int, *carried: str) -> DataFrame:
-    """A row for each band of the level: ``carried`` columns and ``key``."""
-    kinds = ", ".join(f"{c} {sketches.schema[c].dataType.simpleString()}" for c in carried)
+def _registers_of(part: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(part.column("regs").to_pylist()), dtype=np.uint16).reshape(-1, FULL)
+
+
+def banded(sketches: DataFrame) -> DataFrame:
+    """``id, band, key``: a row for each band."""
+    kind = sketches.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
-                regs = np.frombuffer(b"".join(part.column("regs").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-                where = pa.array(np.repeat(np.arange(part.num_rows), BANDS))
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(where) for c in carried), pa.array(band_keys(regs, level).ravel())], [*carried, "key"])
+                where, band = pa.array(np.repeat(np.arange(part.num_rows), BANDS)), np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(where), pa.array(band), pa.array(band_keys(_registers_of(part)).ravel())], ["id", "band", "key"])
 
-    return sketches.select(*carried, "regs").mapInArrow(run, f"{kinds}, key bigint")
+    return sketches.select("id", "regs").mapInArrow(run, f"id {kind}, band int, key bigint")
 
 
-def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The links ``a, b`` among candidate pairs: first by likelihood, then on full sets."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+#: Longs that hold two bits of each register.
+SIGNS = REGISTERS * 2 // 64
+
+
+def signs(regs: np.ndarray) -> np.ndarray:
+    """Two hashed bits of each register, 32 registers a long."""
+    two = (mix(regs.astype(np.uint64) + np.uint64(1)) >> np.uint64(62)).reshape(-1, 32)
+    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64).astype(np.int64)
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def signed(sketches: DataFrame) -> DataFrame:
+    """``id, n``, the signs in ``s0..``, 32 bits of each band's key in ``k0..``."""
+    kind = sketches.schema["id"].dataType.simpleString()
+    names = ["id", "n", *(f"s{i}" for i in range(SIGNS)), *(f"k{i}" for i in range(BANDS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                keys = band_keys(_registers_of(part)).astype(np.int32)
+                marks = np.frombuffer(b"".join(part.column("signs").to_pylist()), dtype=np.int64).reshape(-1, SIGNS)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), *(pa.array(marks[:, i]) for i in range(SIGNS)), *(pa.array(keys[:, i]) for i in range(BANDS))], names)
+
+    columns = ", ".join([*(f"s{i} bigint" for i in range(SIGNS)), *(f"k{i} int" for i in range(BANDS))])
+    return sketches.select("id", "n", "regs", "signs").mapInArrow(run, f"id {kind}, n bigint, {columns}")
+
+
+def likely(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose registers leave room for a link, by joint likelihood."""
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
+                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.uint16).reshape(-1, FULL) for c in ("ra", "rb"))
                 na, nb = (part.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
                 yield part.select(["a", "b"]).filter(pa.array(plausible(a, b, na, nb)))
 
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     rated = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    left = landed(rated.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(likely, f"a {kind}, b {kind}"), "candidates")
-    ids = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
+    return rated.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of a written table that are links, on full sets of whole texts."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
@@ -171,14 +218,14 @@ def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
                 known.trim()
                 linked = []
                 for ta, tb in zip(raw_texts(part.column("ta")), raw_texts(part.column("tb")), strict=True):
-                    x, y = sets[ta], shingle_set(tb, known)
+                    x, y = sets[ta], sets[tb]
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
                     sets.trim()
                 yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
-    both = left.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
+    both = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(exact, f"a {kind}, b {kind}").distinct()
 
 
@@ -188,20 +235,35 @@ def star_pairs(bands: DataFrame) -> DataFrame:
     return bands.join(lead, "key").filter("id > a").select("a", F.col("id").alias("b")).distinct()
 
 
+def _may_link() -> Column:
+    """Sizes and two-bit registers of rows x and y leave room for a link."""
+    sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
+    differ = F.lit(0)
+    for i in range(SIGNS):
+        d = F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))
+        differ = differ + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return sizes & (differ <= MOST_DIFFERENT)
+
+
+def _first_shared() -> Column:
+    """No band before this one is shared by x and y, so a pair comes once."""
+    out = F.lit(True)
+    for i in reversed(range(BANDS)):
+        out = (F.col("x.band") == i) | ((F.col(f"x.k{i}") != F.col(f"y.k{i}")) & out)
+    return out
+
+
 def rest_pairs(reps: DataFrame, bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket of both levels, once a pair."""
-    named = bands.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    open_rows = landed(named.join(mixed, "key", "left_semi"), "open")
-    second = banded(reps.join(open_rows.select("id").distinct(), "id", "left_semi"), 1, "id").withColumnRenamed("key", "key2")
-    fine = open_rows.join(second, "id").select(F.xxhash64("key", "key2").alias("bucket"), "id", "label")
-    # Of buckets that still hold several components, the largest component needs no pairs of its own.
-    sizes = fine.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("bucket", "main")
-    rows = landed(fine.join(largest, "bucket"), "mixed")
-    few = rows.filter("label <> main").select("bucket", F.col("id").alias("x"), F.col("label").alias("lx"))
-    found = few.join(rows, "bucket").filter("lx <> label")
-    return found.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    """Pairs of different components that share a bucket and may be similar, once a pair."""
+    named = bands.join(labels, "id", "left").select("key", "band", "id", F.coalesce("label", "id").alias("label"))
+    sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+    # The largest component of a bucket needs no pairs of its own.
+    mixed = sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("key", "main")
+    open_rows = landed(named.join(mixed, "key"), "open")
+    signs = signed(reps.join(open_rows.select("id").distinct(), "id", "left_semi"))
+    rows = landed(open_rows.join(signs, "id"), "signed")
+    found = rows.filter("label <> main").alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & _may_link() & _first_shared())
+    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -211,14 +273,14 @@ def groups(docs: DataFrame) -> DataFrame:
     classes = table.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     members = landed(table.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").select("doc_id", "n", "rep", "d1", "d2"), "members")
     standing = members.filter("rep = doc_id").select(F.col("doc_id").alias("id"), "d1", "d2").distinct()
-    reps = landed(table.filter("n > 0").withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "regs"), "reps")
-    bands = landed(banded(reps, 0, "id"), "bands")
+    reps = landed(table.filter("n > 0").withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "regs", "signs"), "reps")
+    bands = landed(banded(reps), "bands")
     first = landed(star_pairs(bands), "stars")
-    links = landed(confirmed(docs, reps, first), "links")
+    links = landed(confirmed(docs, landed(likely(reps, first), "candidates")), "links")
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     more = landed(rest_pairs(reps, bands, labels).join(first, ["a", "b"], "left_anti"), "rest")
     if more.limit(1).count():
-        links = links.union(landed(confirmed(docs, reps, more), "links"))
+        links = links.union(landed(confirmed(docs, more), "links"))
         labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     own = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left")
     out = own.withColumn("component_id", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("label", "rep")))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import landed
 from .ordering import numbered, running_sum
 
 BLOCK = 1024
@@ -29,22 +30,30 @@ def round_robin(docs: DataFrame, weights: Mapping[str, float], stream: str = "so
 
     The stream with the least count / weight goes next, ties by the order of
     ``weights``, which is a sort by (place in stream / weight, stream order).
-    Streams without a weight are left out unless ``default`` is given.
+    Streams without a weight are left out unless ``default`` is given.  ``key``
+    is unique in its stream.  Places are found on a written table of keys, so
+    texts move once, when they are joined with their places.
     """
     pairs = [x for i, (name, w) in enumerate(weights.items()) for x in (F.lit(name), F.struct(F.lit(float(max(w, 1e-9))).alias("w"), F.lit(i).alias("k")))]
     known = F.try_element_at(F.create_map(*pairs), F.col(stream)) if pairs else F.lit(None).cast("struct<w:double,k:int>")
     other = F.struct(F.lit(float(default or 1.0)).alias("w"), F.lit(len(weights)).alias("k"))
-    mixed = docs.withColumn("_mix", F.coalesce(known, other) if default is not None else known).filter("_mix is not null")
-    placed = numbered(mixed, "_i", key, by=[stream])
-    turns = placed.withColumn("_turn", F.col("_i") / F.col("_mix.w")).withColumn("_k", F.col("_mix.k"))
-    return numbered(turns, "pos", "_turn", ["_k", stream]).drop("_i", "_mix", "_turn", "_k")
+    chosen = docs.select(stream, key, (F.coalesce(known, other) if default is not None else known).alias("_mix")).filter("_mix is not null")
+    keys = landed(chosen.select(stream, key, F.col("_mix.w").alias("_w"), F.col("_mix.k").alias("_k")), "mix")
+    n = keys.count()
+    turns = numbered(keys, "_i", key, by=[stream], rows=n).withColumn("_turn", F.col("_i") / F.col("_w"))
+    return docs.join(numbered(turns, "pos", "_turn", ["_k", stream], rows=n).select(stream, key, "pos"), [stream, key])
 
 
 def char_prefix(docs: DataFrame, budget: int, key: str = "doc_id", text: str = "text", cap: int | None = None) -> DataFrame:
-    """Documents up to and including the one that crosses ``budget`` characters; texts cut to ``cap`` first."""
+    """Documents up to and including the one that crosses ``budget`` characters; texts cut to ``cap`` first.
+
+    ``key`` is unique.  Only keys and lengths are summed; the result is a filter
+    by the last key, which reaches the scan.
+    """
     cut = docs.withColumn(text, F.substring(text, 1, cap)) if cap else docs
-    total = running_sum(cut.withColumn("_chars", F.length(text).cast("long")), "_total", "_chars", key)
-    return total.filter(F.col("_total") - F.col("_chars") <= budget).drop("_chars", "_total")
+    sizes = landed(cut.select(key, F.length(text).cast("long").alias("_chars")), "sizes")
+    last = running_sum(sizes, "_total", "_chars", key, rows=sizes.count()).filter(F.col("_total") - F.col("_chars") <= budget).agg(F.max(key)).first()[0]
+    return cut.filter(F.lit(False)) if last is None else cut.filter(F.col(key) <= F.lit(last))
 
 
 def _fold(limit: int, target: int | None, tail: bool, size: int) -> Callable:
@@ -118,8 +127,10 @@ def build_corpus(sources: Mapping[str, DataFrame], mix: Mapping[str, float], out
 
 
 def row_groups(docs: DataFrame, key: str, size: int = BLOCK) -> DataFrame:
-    """Add ``row_group`` by the order of ``key``."""
-    return numbered(docs, "_at", key).withColumn("row_group", F.floor(F.col("_at") / size).cast("long")).drop("_at")
+    """Add ``row_group`` by the order of the unique ``key``; places are found on keys alone."""
+    keys = docs.select(key)
+    places = numbered(keys, "_at", key).select(key, F.floor(F.col("_at") / size).cast("long").alias("row_group"))
+    return docs.join(places, key)
 
 
 def strided(column: Column, start: int, step: int) -> Column:

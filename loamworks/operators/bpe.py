@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -101,16 +101,17 @@ def vocabulary(spark, ranks: Mapping[bytes, int], specials: Iterable[str] = ())
 
 
 def encoded(docs: DataFrame, ranks: Mapping[bytes, int], text: str = "text", pattern: str = SPLIT, prepend: int | None = None) -> DataFrame:
-    """``docs`` with ``ids``, by Arrow batches and a per-batch memory of words."""
+    """``docs`` with ``ids``, by Arrow batches; the coder is built once a task."""
     import tiktoken
 
     shared = docs.sparkSession.sparkContext.broadcast(dict(ranks))  # a vocabulary is bounded
 
     @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series) -> pd.Series:
+    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
         head = [] if prepend is None else [prepend]
-        return texts.map(lambda t: head + coder.encode_ordinary(t or ""))
+        for texts in parts:
+            yield texts.map(lambda t: head + coder.encode_ordinary(t or ""))
 
     return docs.withColumn("ids", encode(F.col(text)))
 

@@ -10,26 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loamworks.llm import byte_bpe, secrets, setsketch, spaced_seeds, toxicity
-from loamworks.llm.shared import landed
+from loamworks.llm.shared import landed, tuned
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that score 0.7 or more go."""
-    return toxicity.clean(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return toxicity.clean(docs, toxicity.fit(docs, tuned(spark).read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: one document of each group stays."""
+    tuned(spark)
     return setsketch.without_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that overlap a benchmark item go."""
-    return spaced_seeds.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return spaced_seeds.without_leaks(docs, tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: secrets are replaced in the text; documents stay."""
+    tuned(spark)
     return secrets.redacted(docs, secrets.fit(docs))
 
 
@@ -37,6 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: packed token ids of each document, with digests of the ids and of what they decode to."""
     import public_tokenizers as public
 
+    tuned(spark)
     return byte_bpe.digest(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, ids=True)
 
 

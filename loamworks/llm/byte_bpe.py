@@ -26,14 +26,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .arrow import CACHE_ENTRIES, forget_long, map_text
+from .arrow import CACHE_ENTRIES, forget_long, map_text, tidy
 
 #: Bytes from which on a pre-token is contracted with a heap.
 LONG_WORD = 512
 #: Distinct new words contracted by one recursive query.
-WORDS_A_QUERY = 20_000
+WORDS_A_QUERY = 10_000
 #: Token rows decoded by one query.
-ROWS_A_DECODE = 1_000_000
+ROWS_A_DECODE = 300_000
 
 ENCODE_SQL = """
 WITH RECURSIVE bpe(it, w, pos, tok, nxt) AS (
@@ -77,7 +77,7 @@ class Codec:
             for i in range(1, len(piece))
             if (left := self.ranks.get(piece[:i])) is not None and (right := self.ranks.get(piece[i:])) is not None
         ]
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         l, r, m = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True)) if merges else (pa.array([], pa.int32()),) * 3
         for name, table in (
             ("merges", pa.table({"l": l, "r": r, "m": m})),
@@ -240,7 +240,7 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 yield work(batch.slice(at, 500))
 
-    return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, text string")
+    return coded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def digest(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrow import forget_long, raw_texts, slices
+from .arrow import forget_long, raw_texts, slices, tidy
 from .shared import shared_dir
 
 MAGIC = b"DACS"
@@ -222,7 +222,7 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> None:
             yield close()
 
     ordered = docs.select("doc_id", F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, f"segment bigint, doc_ids array<{kind}>, n_ids bigint, data binary").write.mode("overwrite").parquet(out)
+    ordered.mapInArrow(tidy(run), f"segment bigint, doc_ids array<{kind}>, n_ids bigint, data binary").write.mode("overwrite").parquet(out)
 
 
 def read(spark: SparkSession, out: str) -> DataFrame:
@@ -249,7 +249,7 @@ def read(spark: SparkSession, out: str) -> DataFrame:
                     ["segment", "doc_id", "at", "n_tokens", "ids_crc32"],
                 )
 
-    rows = files.select("segment", "doc_ids", "data").mapInArrow(run, f"segment bigint, doc_id {kind}, at bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = files.select("segment", "doc_ids", "data").mapInArrow(tidy(run), f"segment bigint, doc_id {kind}, at bigint, n_tokens bigint, ids_crc32 bigint")
     return rows.join(bases, "segment").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

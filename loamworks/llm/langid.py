@@ -26,7 +26,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import map_text, slices
+from .arrow import map_text, slices, tidy
 from .folds import bounded_sample, held_out
 
 DOCS_A_LANGUAGE = 2_000
@@ -36,7 +36,7 @@ LONGEST_GRAM = 5
 #: Additive smoothing of counts.
 SMOOTH = 0.5
 #: Entries of a worker's table of chunk scores before it is emptied.
-CHUNKS = 300_000
+CHUNKS = 250_000
 #: Characters of a word that n-grams are made from in one go; longer words are cut into such runs.
 WORD_RUN = 64
 UNKNOWN = "und"
@@ -196,7 +196,7 @@ def counts(rows: DataFrame) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["kind", "lang", "item", "n"])
 
-    return rows.select("lang", F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, lang string, item string, n bigint").groupBy("kind", "lang", "item").agg(F.sum("n").alias("n"))
+    return rows.select("lang", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "kind string, lang string, item string, n bigint").groupBy("kind", "lang", "item").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame) -> Model:

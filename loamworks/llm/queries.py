@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import byte_bpe, dac, langid, line_quality, oracles, pseudonyms, secrets, setsketch, spaced_seeds, toxicity, trie_counts
+from .shared import tuned
 
 #: The key of the registered query; a real run gives its own.
 PSEUDONYM_KEY = b"loamworks"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import map_text
+from .arrow import map_text, slices, tidy
 from .folds import SPAN
 
 # The base patterns and their least lengths.
@@ -283,10 +283,11 @@ def redacted(docs: DataFrame, field: Field) -> DataFrame:
     def run(batches):
         own = _field(shared.value)
         for batch in batches:
-            texts = [None if t is None else redact(t, own) for t in batch.column("text").to_pylist()]
-            yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+            for part in slices(batch, "text"):
+                texts = [None if t is None else redact(t, own) for t in part.column("text").to_pylist()]
+                yield part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(tidy(run), docs.schema)
     if "n_chars" not in docs.columns:
         return out
     kind = docs.schema["n_chars"].dataType

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import Bounded, map_text, raw_texts
+from .arrow import Bounded, map_text, raw_texts, tidy
 from .components import components
 from .shared import landed
 from .shingles import mix, shingle_set, word_cache
@@ -155,7 +155,7 @@ def banded(sketches: DataFrame) -> DataFrame:
                 where, band = pa.array(np.repeat(np.arange(part.num_rows), BANDS)), np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(where), pa.array(band), pa.array(band_keys(_registers_of(part)).ravel())], ["id", "band", "key"])
 
-    return sketches.select("id", "regs").mapInArrow(run, f"id {kind}, band int, key bigint")
+    return sketches.select("id", "regs").mapInArrow(tidy(run), f"id {kind}, band int, key bigint")
 
 
 #: Longs that hold two bits of each register.
@@ -182,7 +182,7 @@ def signed(sketches: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), *(pa.array(marks[:, i]) for i in range(SIGNS)), *(pa.array(keys[:, i]) for i in range(BANDS))], names)
 
     columns = ", ".join([*(f"s{i} bigint" for i in range(SIGNS)), *(f"k{i} int" for i in range(BANDS))])
-    return sketches.select("id", "n", "regs", "signs").mapInArrow(run, f"id {kind}, n bigint, {columns}")
+    return sketches.select("id", "n", "regs", "signs").mapInArrow(tidy(run), f"id {kind}, n bigint, {columns}")
 
 
 def likely(reps: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def likely(reps: DataFrame, pairs: DataFrame) -> DataFrame:
 
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     rated = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    return rated.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, f"a {kind}, b {kind}")
+    return rated.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
     both = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(exact, f"a {kind}, b {kind}").distinct()
+    return both.mapInArrow(tidy(exact), f"a {kind}, b {kind}").distinct()
 
 
 def star_pairs(bands: DataFrame) -> DataFrame:

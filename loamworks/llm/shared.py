@@ -1,26 +1,18 @@
-"""The folder that driver and executors share, and cut-off points for lineage."""
+"""The shared folder, cut-off points for lineage, and the batch size of queries here."""
 
-from __future__ import annotations
+from pyspark.sql import SparkSession
 
-import tempfile
-import uuid
+from ..storage import landed, shared_dir
 
-from pyspark.sql import DataFrame, SparkSession
+__all__ = ["landed", "shared_dir", "tuned"]
 
+#: Rows of an Arrow batch: whole texts make rows large.
+ROWS_A_BATCH = 1_000
 
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests), a temporary folder."""
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if given:
-        return given.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loamworks-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
-
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches of at most ``ROWS_A_BATCH`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= ROWS_A_BATCH:
+        spark.conf.set(name, str(ROWS_A_BATCH))
+    return spark

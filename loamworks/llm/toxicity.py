@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Bounded, map_text, raw_texts
+from .arrow import Bounded, map_text, raw_texts, slices, tidy
 from .folds import bounded_sample, held_out
 
 ROWS_A_CLASS = 3_000
@@ -156,10 +156,7 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         rate = scorer(shared.value)
         for batch in batches:
-            texts = batch.column("text")
-            flags: list[bool] = []
-            for i in range(0, batch.num_rows, 500):
-                flags += (rate(raw_texts(texts.slice(i, 500))) < THRESHOLD).tolist()
-            yield batch.filter(pa.array(flags, pa.bool_()))
+            for part in slices(batch, "text"):
+                yield part.filter(pa.array(rate(raw_texts(part.column("text"))) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -40,6 +40,8 @@ RANK_BITS = 512
 #: Text bytes from which on a segment is closed (at a document's end).
 SEGMENT_BYTES = 8 << 20
 END_ID = 1
+#: Text bytes encoded at once; more words share a call of the library than in the usual slices.
+SLICE_BYTES = 4 << 20
 
 
 def pack(ids: np.ndarray, doc_ends: np.ndarray) -> bytes:
@@ -209,7 +211,7 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> None:
         doc_type = None
         for batch in batches:
             doc_type = batch.column("doc_id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 texts = raw_texts(part.column("text"))
                 for name, raw, coded in zip(part.column("doc_id").to_pylist(), texts, encoder(path).encode(texts), strict=True):
                     ids.append(coded + tail)

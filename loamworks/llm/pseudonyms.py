@@ -39,7 +39,10 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z-])",
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()), re.ASCII)
-_MAY = re.compile(r"@|[0-9]{2}")
+#: Every pattern needs one of these.
+_MAY = re.compile(r"[@0-9]")
+_GROUP = re.compile(r"[0-9]+")
+CARD_DIGITS = 13
 
 
 class Feistel:
@@ -79,6 +82,25 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+def shorter_cards(s: str) -> list[tuple[int, int]]:
+    """Stretches of whole digit groups of ``s`` that may be a card, longest first, then by start.
+
+    Of a stretch's groups only the last may have fewer than three digits, or
+    columns of small numbers would give a valid one nearly always.
+    """
+    groups = [m.span() for m in _GROUP.finditer(s)]
+    found = []
+    for i, (a, _) in enumerate(groups):
+        n = 0
+        for c, b in groups[i:]:
+            n += b - c
+            if n >= CARD_DIGITS and b - a < len(s):
+                found.append((-n, a, b))
+            if b - c < 3:
+                break
+    return [(a, b) for _, a, b in sorted(found)]
+
+
 def _refill(form: str, chars: str) -> str:
     """``form`` with its letters and digits replaced in turn."""
     it = iter(chars)
@@ -118,8 +140,14 @@ class Pseudonyms:
         digits = "".join(c for c in s if c.isdigit())
         if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
             return None
-        payload = digits[0] + self._number(digits[1:-1], f"card{digits[0]}")
-        return _refill(s, payload + luhn_digit(payload))
+        # Walked to a number that would take the same next check digit: digits around
+        # a card then pass or fail together with it as before, and values come back.
+        number = digits
+        while True:
+            payload = digits[0] + self._number(number[1:-1], f"card{digits[0]}")
+            number = payload + luhn_digit(payload)
+            if luhn_digit(number) == luhn_digit(digits):
+                return _refill(s, number)
 
     def iban(self, s: str) -> str | None:
         plain = s.replace(" ", "")
@@ -183,17 +211,29 @@ class Pseudonyms:
         if len(self.known) > 100_000:
             self.known.clear()
 
-        def put(m: re.Match) -> str:
-            kind, s = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m[k]), m[0]
+        def known(kind: str, s: str) -> str | None:
             if (kind, s) not in self.known:
                 self.known[kind, s] = getattr(self, kind)(s)
-            new = self.known[kind, s]
+            return self.known[kind, s]
+
+        out, done, at = [], 0, 0
+        while m := _ANY.search(text, at):
+            kind = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m[k])
+            start, end = m.span()
+            new = known(kind, m[0])
+            if new is None and kind == "card":
+                for a, b in shorter_cards(m[0]):
+                    if (new := known(kind, m[0][a:b])) is not None:
+                        start, end = start + a, start + b
+                        break
             if new is None:
-                return s
+                # What fails may hold or overlap a value; an e-mail's local part without letters can't.
+                at = end if kind == "email" else start + 1
+                continue
             found[kind] += 1
-            return new
-
-        return _ANY.sub(put, text), found
+            out += [text[done:start], new]
+            done = at = end
+        return "".join(out) + text[done:], found
 
 
 def pseudonymised(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:

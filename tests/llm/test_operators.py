@@ -292,6 +292,30 @@ def test_pseudonyms_keep_their_form():
     assert pseudonyms.Pseudonyms(b"other").replace(text)[0] != new
 
 
+def test_pseudonyms_equal_brute_force_without_prefilter():
+    """Addresses of single digits, and cards next to other digits, are replaced; all comes back."""
+    p, q = pseudonyms.Pseudonyms(b"k"), pseudonyms.Pseudonyms(b"k", back=True)
+    new, n = p.replace("server 8.8.8.8 seen")
+    assert n["ip"] == 1 and new.split()[1] == p.replace("in 2021 8.8.8.8")[0].split()[2] != "8.8.8.8"
+    card = "4111 1111 1111 1111"
+    want = p.card(card)
+    for text in ("{} 12/27", "{} 123", "{} 1", "{}-123", "12 {}", "1234 {}", "AB12 {}", "{} 415 555 2671"):
+        given = text.format(card)
+        new, n = p.replace(given)
+        assert n["card"] == 1 and want in new and q.replace(new)[0] == given
+    r = random.Random(3)
+    for _ in range(300):
+        digits = "".join(r.choice("0123456789") for _ in range(15))
+        number = digits + pseudonyms.luhn_digit(digits)
+        form = " ".join(number[i : i + 4] for i in range(0, 16, 4))
+        given = f"pay {form} {r.randrange(10 ** r.randint(1, 3))}, or {r.randrange(10)}.{r.randrange(10)}.1.2"
+        new, n = p.replace(given)
+        # Brute force: the longest stretch of the digits from the first on that passes the check.
+        found = re.search(r"[0-9 ]+", given.removeprefix("pay "))[0]
+        ends = [k for k in (len(found), len(form)) if pseudonyms.Pseudonyms(b"k").card(found[:k])]
+        assert new.startswith("pay " + p.card(found[: ends[0]])) and n["card"] == 1 and n["ip"] == 1 and q.replace(new)[0] == given
+
+
 def test_spaced_seeds_tolerate_substitutions(spark):
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))

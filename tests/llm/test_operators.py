@@ -336,6 +336,41 @@ def test_spaced_seeds_tolerate_substitutions(spark):
     assert want <= got and all(d < 8 for d, _ in got)
 
 
+def test_masks_hit_every_pattern_of_agreement():
+    spans = [[k for k, bit in enumerate(m) if bit == "1"] for m in spaced_seeds.MASKS]
+    for n in range(spaced_seeds.LEAST, spaced_seeds.REACH + 1):
+        least = -(-spaced_seeds.AGREE_PERCENT * n // 100)
+        for off in itertools.combinations(range(n), n - least):
+            assert any(not any(i + k in off for k in at) for at in spans for i in range(n - at[-1]))
+
+
+def test_leaks_equal_the_plain_rule_without_seeds(spark, monkeypatch):
+    """Every fourth word replaced, random substitutions around the limit, cut passages, short items inside documents."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
+    items = [[word() for _ in range(n)] for n in (1, 3, 8, 9, 10, 15, 18, 20, 20, 35)]
+    docs = []
+    for item in items:
+        for k in range(4):
+            docs.append([word() for _ in range(r.randint(0, 30))] + [word() if i % 4 == k and len(item) > 8 else w for i, w in enumerate(item)] + [word() for _ in range(r.randint(0, 30))])
+        for _ in range(12):
+            off = set(r.sample(range(len(item)), len(item) // 4 + r.randint(0, 1)))
+            docs.append([word() for _ in range(r.randint(0, 9))] + [word() if i in off else w for i, w in enumerate(item)] + [word() for _ in range(r.randint(0, 9))])
+        docs += [item[len(item) // 5 :], item[: len(item) - len(item) // 4] + [word()]]
+
+    def plain(doc, item):
+        n, reach = len(item), min(len(item), spaced_seeds.REACH)
+        least = n if n < spaced_seeds.LEAST else -(-spaced_seeds.AGREE_PERCENT * reach // 100)
+        return any(sum(0 <= i + d < len(doc) and doc[i + d] == item[i] for i in range(s, s + reach)) >= least for s in range(n - reach + 1) for d in range(-n, len(doc)))
+
+    want = {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if plain(doc, item)}
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    rows = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(docs)], "doc_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in spaced_seeds.leaks(rows, benchmark).collect()} == want
+    monkeypatch.setattr(spaced_seeds, "BROADCAST_SEEDS", 0)
+    assert {(x.doc_id, x.item_id) for x in spaced_seeds.leaks(rows, benchmark).collect()} == want
+
+
 def test_large_benchmark_by_shuffle(spark, monkeypatch):
     docs, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     want = {tuple(r) for r in spaced_seeds.leaks(docs, benchmark).collect()}

@@ -1,14 +1,17 @@
 """Operator 2: secret scans, fixed patterns and a linear-chain conditional random field.
 
 The patterns (assign, access, hex) give base spans.  The field tags the tokens
-of candidate runs as secret begin, inside or outside, from their shape, the
-words next to the run and features of the whole file, decoded by Viterbi.  A
-candidate run is a maximal run of ``RUN_CHARS`` of at least ``RUN_LENGTH``
-characters with a digit; every token elsewhere is outside by constraint, so the
-chain falls apart into runs and decoding them one by one is exact.
+of runs as secret begin, inside or outside, from their shape, the words next to
+the run and features of the whole file, decoded by Viterbi.  A run is a maximal
+run without white space of at least ``ASSIGN_VALUE`` characters, the least value
+of the base patterns, whatever its characters; shorter runs are outside by
+constraint, so the chain falls apart into runs and decoding them one by one is
+exact.
 
 The field is trained by stochastic gradients on base spans as weak labels, over
-the runs of at most about ``TRAIN_DOCS`` documents.  Scans read whole texts.
+runs of at most about ``TRAIN_DOCS`` documents: all that touch a base span or are
+long with a digit, and one in ``PLAIN_SHARE`` of the others.  Scans read all runs
+of whole texts.
 
 Defined results: a null or empty text has no spans; a field without training
 runs adds none; field spans that overlap base spans are left out; repeated rows
@@ -39,9 +42,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_VALUE = 6
 KINDS = ("assign", "access", "hex", "crf")
 
-RUN_LENGTH = 12
-RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % RUN_LENGTH)
-TOKEN = re.compile(r"[A-Za-z0-9]+|[+/_.=-]")
+RUN = re.compile(r"\S{%d,}" % ASSIGN_VALUE)
+TOKEN = re.compile(r"[^\W_]+|\S")
+#: Runs that training always reads.
+LONG = re.compile(r"(?=\S*[0-9])\S{12,}")
+PLAIN_SHARE = 32
+KNOWN = 200_000
 WORD = re.compile(r"[^\W_]+")
 NEAR = 40
 
@@ -79,23 +85,31 @@ class Run:
     """A candidate run: its tokens' places and feature numbers."""
 
     def __init__(self, text: str, start: int, end: int, file: list[str]) -> None:
-        self.places = [(m.start() + start, m.end() + start) for m in TOKEN.finditer(text[start:end])]
-        before, after = text[max(0, start - NEAR) : start], text[end : end + NEAR]
-        last, first = WORD.findall(before)[-1:], WORD.search(after)
-        around = [f"p={last[0].lower() if last else ''}", f"n={first[0].lower() if first else ''}", f"b={before[-1:]}", f"a={after[:1]}", f"k={min(len(self.places), 8)}", f"l={min(8, (end - start) // 8)}", *file]
-        self.features = [self.numbers(text[a:b], i, around) for i, (a, b) in enumerate(self.places)]
-
-    def numbers(self, token: str, i: int, around: list[str]) -> np.ndarray:
-        shape = [("A", sum(c.isupper() for c in token)), ("a", sum(c.islower() for c in token)), ("9", sum(c.isdigit() for c in token))]
-        kinds = "".join(k for k, n in shape if n)
-        count = Counter(token)
-        entropy = -sum(n / len(token) * math.log2(n / len(token)) for n in count.values())
-        own = [
-            f"s={kinds}", f"m={min(10, len(token) // 4)}", f"e={int(entropy * 2)}", f"d={shape[2][1] * 4 // len(token)}",
-            f"h={all(c in '0123456789abcdef' for c in token)}", f"i={min(i, 3)}", f"t={token if len(token) <= 3 else ''}",
-            f"sm={kinds}{min(10, len(token) // 4)}", f"se={kinds}{int(entropy * 2)}",
-        ]
-        return np.array([xxhash.xxh32_intdigest(x) >> (32 - BITS) for x in own + around])
+        self.text, self.span = text, (start, end)
+        self.places = [(m.start(), m.end()) for m in TOKEN.finditer(text, start, end)]
+        last, first = WORD.findall(text, max(0, start - NEAR), start)[-1:], WORD.search(text, end, end + NEAR)
+        self.around = [f"p={last[0].lower() if last else ''}", f"n={first[0].lower() if first else ''}", f"b={text[start - 1] if start else ''}", f"a={text[end : end + 1]}", f"k={min(len(self.places), 8)}", f"l={min(8, (end - start) // 8)}", *file]
+
+    @property
+    def features(self) -> list[np.ndarray]:
+        return [np.array([number(x) for x in [*shape_of(self.text[a:b]), f"i={min(i, 3)}", *self.around]]) for i, (a, b) in enumerate(self.places)]
+
+
+def number(feature: str) -> int:
+    return xxhash.xxh32_intdigest(feature) >> (32 - BITS)
+
+
+def shape_of(token: str) -> list[str]:
+    """Features of a token by itself."""
+    shape = [("A", sum(c.isupper() for c in token)), ("a", sum(c.islower() for c in token)), ("9", sum(c.isdigit() for c in token))]
+    kinds = "".join(k for k, n in shape if n)
+    count = Counter(token)
+    entropy = -sum(n / len(token) * math.log2(n / len(token)) for n in count.values())
+    return [
+        f"s={kinds}", f"m={min(10, len(token) // 4)}", f"e={int(entropy * 2)}", f"d={shape[2][1] * 4 // len(token)}",
+        f"h={all(c in '0123456789abcdef' for c in token)}", f"t={token if len(token) <= 3 else ''}",
+        f"sm={kinds}{min(10, len(token) // 4)}", f"se={kinds}{int(entropy * 2)}",
+    ]
 
 
 def file_features(text: str) -> list[str]:
@@ -107,11 +121,8 @@ def file_features(text: str) -> list[str]:
 
 
 def runs(text: str) -> list[Run]:
-    found = [m.span() for m in RUN.finditer(text) if any(c.isdigit() for c in m[0])]
-    if not found:
-        return []
     file = file_features(text)
-    return [Run(text, a, b, file) for a, b in found]
+    return [Run(text, *m.span(), file) for m in RUN.finditer(text)]
 
 
 class Field:
@@ -121,13 +132,68 @@ class Field:
         self.weights = np.zeros((3, 1 << BITS), dtype=np.float32) if weights is None else weights
         self.moves = np.zeros((4, 3)) if moves is None else moves
         self.moves[OUT, IN] = self.moves[3, IN] = NEVER
+        self.known: dict[str, tuple[float, ...]] = {}
+        self.leads: dict[str, tuple[float, ...]] = {}
+        self.near: dict[str, tuple[float, ...]] = {}
+        stay = np.array([*[self.moves[OUT, OUT]] * 3, self.moves[3, OUT]])
+        enter, leave = (self.moves - stay[:, None]).max(axis=0), np.maximum(0, self.moves[:3, OUT] - self.moves[OUT, OUT])
+        self.gain = tuple((enter + leave).tolist())
+
+    def score_of(self, key: str, features: list[str]) -> tuple[float, ...]:
+        """The sum of the features' weights for each tag, remembered under ``key``."""
+        if (got := self.known.get(key)) is None:
+            if len(self.known) > KNOWN:
+                self.known.clear()
+            got = self.known[key] = tuple(self.weights[:, [number(x) for x in features]].sum(axis=1, dtype=np.float64).tolist())
+        return got
+
+    def lead(self, features: list[str]) -> tuple[float, float]:
+        """By how much the features favour OUT over BEGIN and over IN."""
+        out, begin, inside = self.score_of("\0".join(features), features)
+        return out - begin, out - inside
+
+    def plain(self, text: str, start: int, end: int, file: tuple[float, float]) -> bool:
+        """Whether each token of a run loses more by another tag than the moves to it and back can gain, so that all are OUT.
+
+        Least leads of a run's own text are remembered: most runs are known words.
+        """
+        known, word = self.leads, text[start:end]
+        if (own := known.get(word)) is None:
+            if len(known) > KNOWN:
+                known.clear()
+            tokens = TOKEN.findall(word)
+            each = [self.lead([*shape_of(t), f"i={min(i, 3)}"]) for i, t in enumerate(tokens)]
+            both = self.lead([f"k={min(len(tokens), 8)}", f"l={min(8, (end - start) // 8)}"])
+            own = known[word] = tuple(min(x) + y for x, y in zip(zip(*each, strict=True), both, strict=True))
+        last, first = WORD.findall(text, max(0, start - NEAR), start), WORD.search(text, end, end + NEAR)
+        b, i = own[0] + file[0], own[1] + file[1]
+        for key in ("p=" + (last[-1].lower() if last else ""), "n=" + (first[0].lower() if first else ""), "b=" + (text[start - 1] if start else ""), "a=" + text[end : end + 1]):
+            if (got := self.near.get(key)) is None:
+                if len(self.near) > KNOWN:
+                    self.near.clear()
+                got = self.near[key] = self.lead([key])
+            b += got[0]
+            i += got[1]
+        return b > self.gain[BEGIN] and i > self.gain[IN]
+
+    def tags(self, run: Run) -> list[int]:
+        """The same as ``viterbi(run.features)``, from sums that are remembered; weights must stay."""
+        around = [sum(x) for x in zip(*(self.score_of(x, [x]) for x in run.around), strict=True)]
+        rows = []
+        for i, (a, b) in enumerate(run.places):
+            token, at = run.text[a:b], f"i={min(i, 3)}"
+            own, place = self.score_of("=" + token, shape_of(token)) if "=" + token not in self.known else self.known["=" + token], self.score_of(at, [at])
+            rows.append([x + y + z for x, y, z in zip(around, own, place, strict=True)])
+        return self.best(np.array(rows))
 
     def scores(self, features: list[np.ndarray]) -> np.ndarray:
-        return np.array([self.weights[:, f].sum(axis=1) for f in features], dtype=np.float64)
+        return np.array([self.weights[:, f].sum(axis=1, dtype=np.float64) for f in features])
 
     def viterbi(self, features: list[np.ndarray]) -> list[int]:
         """The best tags; ties go to the lower tag."""
-        s = self.scores(features)
+        return self.best(self.scores(features))
+
+    def best(self, s: np.ndarray) -> list[int]:
         best, back = s[0] + self.moves[3], []
         for row in s[1:]:
             through = best[:, None] + self.moves[:3]
@@ -179,10 +245,15 @@ def train(examples: list[tuple[list[np.ndarray], list[int]]]) -> Field:
 
 
 def labelled(text: str) -> list[tuple[list[np.ndarray], list[int]]]:
-    """The runs of a text with tags from its base spans' values."""
+    """The runs of a text for training, with tags from its base spans' values; of plain runs a share by hash."""
     spans = [(a, b) for _, a, b in base_spans(text)]
     out = []
-    for run in runs(text):
+    file = file_features(text)
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        if not LONG.match(m[0]) and not any(a < end and start < b for a, b in spans) and xxhash.xxh64_intdigest(text[max(0, start - NEAR) : end + NEAR].encode("utf-8", "surrogatepass")) % PLAIN_SHARE:
+            continue
+        run = Run(text, start, end, file)
         inside = [any(a < e and s < b for a, b in spans) for s, e in run.places]
         out.append((run.features, [BEGIN if x and not (i and inside[i - 1]) else IN if x else OUT for i, x in enumerate(inside)]))
     return out
@@ -190,7 +261,7 @@ def labelled(text: str) -> list[tuple[list[np.ndarray], list[int]]]:
 
 def fit(docs: DataFrame) -> Field:
     """Train on the runs of a bounded sample, chosen by a hash of doc_id among texts with a candidate."""
-    some = docs.filter(F.col("text").cast("string").rlike(f"[A-Za-z0-9+/_.=-]{{{RUN_LENGTH},}}") & F.col("text").rlike("[0-9]")).select("doc_id", F.col("text").cast("string").alias("text"))
+    some = docs.filter(F.col("text").cast("string").rlike(r"\S{%d,}" % ASSIGN_VALUE)).select("doc_id", F.col("text").cast("string").alias("text"))
     n = some.count()
     place = F.pmod(F.xxhash64(F.lit("secrets"), F.col("doc_id").cast("string")), F.lit(SPAN))
     sample = some.filter(place < min(SPAN, SPAN * TRAIN_DOCS // max(1, n)))
@@ -205,13 +276,19 @@ def fit(docs: DataFrame) -> Field:
 
     rows = map_text(sample, make, "doc_id string, at int, features array<array<int>>, tags array<int>").collect()
     rows.sort(key=lambda r: (xxhash.xxh64_intdigest(f"{r['doc_id']}/{r['at']}"), r["features"]))
-    return train([([np.array(f) for f in r["features"]], list(r["tags"])) for r in rows])
+    done = train([([np.array(f) for f in r["features"]], list(r["tags"])) for r in rows])
+    return Field(done.weights, done.moves)
 
 
 def field_spans(text: str, field: Field) -> list[Span]:
     out = []
-    for run in runs(text):
-        tags = field.viterbi(run.features)
+    file = file_features(text)
+    lead = field.lead(file)
+    for m in RUN.finditer(text):
+        if field.plain(text, *m.span(), lead):
+            continue
+        run = Run(text, *m.span(), file)
+        tags = field.tags(run)
         for i, tag in enumerate(tags):
             if tag == BEGIN:
                 end = i

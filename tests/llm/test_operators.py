@@ -125,6 +125,23 @@ def test_field_learns_beyond_the_patterns():
     assert secrets.scan("mail me@host9.example.com", field)[1] == []
 
 
+def test_field_tags_short_digitless_and_broken_values():
+    """Weights alone decide on values of any characters from six on, and fast tags equal plain Viterbi."""
+    for value in ("Tr0ub4d0r", "kWzQxVbJ", "Xk9#mQ2z!vB7w"):
+        run = next(x for x in secrets.runs(f"pwd: {value} end") if x.span[0] == 5)
+        field = secrets.Field(*(lambda x: (x.weights, x.moves))(secrets.train([(run.features, [secrets.BEGIN] + [secrets.IN] * (len(run.places) - 1))])))
+        assert ("crf", 5, 5 + len(value)) in secrets.scan(f"pwd: {value} end", field)[1]
+    rng = np.random.default_rng(2)
+    field = secrets.Field(rng.normal(size=(3, 1 << secrets.BITS)).astype(np.float32), rng.normal(size=(4, 3)))
+    text = "plain words, and user@host.example.com then Xk9#mQ2z!vB7w or p4ss=w_ord 漢字かな交じり文 (quoted)."
+    field.weights[0] += 1.0
+    field = secrets.Field(field.weights, field.moves)
+    lead = field.lead(secrets.file_features(text))
+    for x in secrets.runs(text):
+        assert field.tags(x) == field.viterbi(x.features)
+        assert not field.plain(text, *x.span, lead) or not any(field.tags(x))
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")

@@ -3,21 +3,27 @@
 Each Python worker holds one in-memory DuckDB connection with two tables: the
 vocabulary ``(id, piece)`` and the merge table ``(l, r, m)``, which has every
 split of a piece into two pieces.  New pre-tokens of a slice of texts become
-token-position rows; a recursive query joins adjacent tokens with the merge
-table and contracts each word's leftmost minimum-rank pair until no pair is
-left.  Decoding joins ids with the vocabulary and aggregates pieces in order.
+token-position rows, cut where two bytes stand side by side in no piece, since
+no merge can cross that place; a recursive query joins adjacent tokens with the
+merge table and contracts each stretch's leftmost minimum-rank pair until no
+pair is left.  Decoding joins ids with the vocabulary and aggregates pieces in
+order.
+
+Both recursive queries keep only the newest state of a row (``USING KEY``), so
+memory is that of one round, however many rounds there are.  Stretches of over
+``LONG`` bytes take the second query: it contracts all occurrences of the
+minimum-rank pair in one round, left to right, up to the first that makes a pair
+of lower rank with a neighbour, which then comes first.  The ids are the same.
 
 Defined results: a null text counts as empty (no ids); repeated rows give
 repeated results; a null doc_id is carried through; other columns are ignored.
-Words of over ``LONG_WORD`` bytes need as many rounds as they have merges, each
-over the whole word, so a heap-driven loop contracts them by the same rule.
+Memory grows with the longest stretch alone, by at most ``BYTES_A_BYTE``.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Callable
 
 import duckdb
@@ -28,28 +34,65 @@ from pyspark.sql import DataFrame
 
 from .arrow import CACHE_ENTRIES, forget_long, map_text, tidy
 
-#: Bytes from which on a pre-token is contracted with a heap.
-LONG_WORD = 512
-#: Distinct new words contracted by one recursive query.
-WORDS_A_QUERY = 10_000
+#: Bytes from which on a stretch takes the query for long ones.
+LONG = 192
+#: Bytes of new words contracted by one call; one longer word is a call of its own.
+BYTES_A_QUERY = 200_000
+#: A worker's limit for DuckDB, and what a byte of a stretch may take: one of over 500 KB raises the limit.
+MEMORY_MB, BYTES_A_BYTE = 300, 600
 #: Token rows decoded by one query.
 ROWS_A_DECODE = 300_000
 
-ENCODE_SQL = """
-WITH RECURSIVE bpe(it, w, pos, tok, nxt) AS (
-    SELECT 0::INTEGER, w, pos, tok, nxt FROM start
+#: ``n`` is the stretch's number of tokens: rows of an older, longer state aren't read.
+SHORT_SQL = """
+WITH RECURSIVE bpe(w, pos, tok, nxt, n) USING KEY (w, pos) AS (
+    SELECT w, pos, tok, nxt, n FROM start
     UNION ALL
-    SELECT b.it + 1, b.w,
+    SELECT b.w,
            CASE WHEN b.pos > best.p THEN b.pos - 1 ELSE b.pos END,
            CASE WHEN b.pos = best.p + 1 THEN best.m ELSE b.tok END,
-           CASE WHEN b.pos = best.p - 1 THEN best.m ELSE b.nxt END
+           CASE WHEN b.pos = best.p - 1 THEN best.m ELSE b.nxt END,
+           b.n - 1
     FROM bpe b
     JOIN (SELECT w, min(m) AS m, arg_min(pos, m::BIGINT * 4294967296 + pos) AS p
           FROM bpe JOIN merges ON l = tok AND r = nxt GROUP BY w) best ON b.w = best.w
     WHERE b.pos <> best.p)
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM bpe SEMI JOIN (SELECT w, max(it) AS it FROM bpe GROUP BY w) USING (w, it)
-GROUP BY w ORDER BY w
+SELECT w, tok FROM bpe SEMI JOIN (SELECT w, n FROM bpe WHERE pos = 0) USING (w, n) ORDER BY w, pos
+"""
+
+#: ``after`` is the place of the next token, ``nxt`` that token, ``m`` the pair's rank; -1 marks a token that is gone.
+#: Of pairs that overlap every second is free; ``stop`` is the first that makes a pair of lower rank.
+LONG_SQL = """
+WITH RECURSIVE bpe(w, pos, tok, after, nxt, m) USING KEY (w, pos) AS (
+    SELECT w, pos, tok, pos + 1, nxt, m FROM start LEFT JOIN merges ON l = tok AND r = nxt
+    UNION ALL
+    (WITH found AS (
+        SELECT b.w, b.pos, b.after, b.m, lag(b.after) OVER o IS DISTINCT FROM b.pos AS fresh, row_number() OVER o AS k
+        FROM recurring.bpe b
+        JOIN (SELECT w, min(m) AS m FROM recurring.bpe WHERE tok >= 0 GROUP BY w) best ON b.w = best.w AND b.m = best.m
+        WHERE b.tok >= 0 WINDOW o AS (PARTITION BY b.w ORDER BY b.pos)),
+    placed AS (SELECT *, k - max(CASE WHEN fresh THEN k END) OVER (PARTITION BY w ORDER BY pos) AS nth FROM found),
+    free AS (SELECT w, pos AS p, after AS q, m FROM placed WHERE nth % 2 = 0),
+    near AS (
+        SELECT f.w, f.p, f.q, f.m, b.after AS next, b.nxt, a.pos AS before, CASE WHEN d.q IS NULL THEN a.tok ELSE f.m END AS tok, d.q IS NULL AS open
+        FROM free f JOIN recurring.bpe b ON b.w = f.w AND b.pos = f.q
+        LEFT JOIN (SELECT * FROM recurring.bpe WHERE tok >= 0) a ON a.w = f.w AND a.after = f.p
+        LEFT JOIN free d ON d.w = f.w AND d.q = a.pos),
+    stop AS (
+        SELECT w, min(p) AS last FROM (
+            SELECT w, p FROM near JOIN lower ON lower.l = near.tok AND lower.r = near.m AND lower.m < near.m
+            UNION ALL
+            SELECT w, p FROM near JOIN lower ON lower.l = near.m AND lower.r = near.nxt AND lower.m < near.m) GROUP BY w),
+    pick AS (SELECT near.* FROM near LEFT JOIN stop USING (w) WHERE p <= coalesce(last, p)),
+    changed AS (
+        SELECT x.w, x.p AS pos, x.m AS tok, x.next AS after, CASE WHEN n.p IS NULL THEN x.nxt ELSE n.m END AS nxt
+        FROM pick x LEFT JOIN pick n ON n.w = x.w AND n.p = x.next
+        UNION ALL
+        SELECT w, before, tok, p, m FROM pick WHERE open AND before IS NOT NULL)
+    SELECT w, pos, tok, after, nxt, merges.m FROM changed LEFT JOIN merges ON l = tok AND r = nxt
+    UNION ALL
+    SELECT w, q, -1, -1, -1, NULL FROM pick))
+SELECT w, tok FROM bpe WHERE tok >= 0 ORDER BY w, pos
 """
 
 DECODE_SQL = """
@@ -77,7 +120,11 @@ class Codec:
             for i in range(1, len(piece))
             if (left := self.ranks.get(piece[:i])) is not None and (right := self.ranks.get(piece[i:])) is not None
         ]
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        #: Whether two bytes stand side by side in some piece.
+        self.joins = np.zeros((256, 256), dtype=bool)
+        for piece in self.ranks:
+            self.joins[list(piece[:-1]), list(piece[1:])] = True
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": ""})
         l, r, m = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True)) if merges else (pa.array([], pa.int32()),) * 3
         for name, table in (
             ("merges", pa.table({"l": l, "r": r, "m": m})),
@@ -86,6 +133,7 @@ class Codec:
             self.con.register("given", table)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
+        self.con.execute("CREATE TABLE lower AS SELECT * FROM merges WHERE m < greatest(l, r)")
         self.known: dict[str, bytes] = {}
 
     def ask(self, sql: str, name: str, table: pa.Table) -> pa.Table:
@@ -96,61 +144,56 @@ class Codec:
             self.con.unregister(name)
 
     def contract(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of each non-empty word, by the recursive query."""
+        """Packed ids of each non-empty word, by the recursive queries."""
         lengths = np.array([len(x) for x in words])
         ends = np.cumsum(lengths)
-        tok = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        first = np.zeros(len(raw), dtype=bool)
+        first[ends - lengths] = True
+        first[1:] |= ~self.joins[raw[:-1], raw[1:]]
+        at = np.flatnonzero(first)
+        size = np.diff(np.append(at, len(raw))).astype(np.int32)
+        w = np.repeat(np.arange(len(at), dtype=np.int32), size)
+        tok = self.byte_ids[raw]
         nxt = np.append(tok[1:], np.int32(-1))
-        nxt[ends - 1] = -1
-        pos = np.arange(len(tok)) - np.repeat(ends - lengths, lengths)
-        w = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
-        out = self.ask(ENCODE_SQL, "start", pa.table({"w": w, "pos": pos.astype(np.int32), "tok": tok, "nxt": nxt}))
-        ids = out["ids"].combine_chunks()
-        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        return [flat[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-
-    def contract_long(self, word: bytes) -> bytes:
-        """The same contraction for one very long word: a heap of (rank, position) over linked parts."""
-        n = len(word)
-        end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < n and (rank := self.ranks.get(word[i : end[after[i]]])) is not None:
-                heapq.heappush(heap, (rank, i, end[i], end[after[i]]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, middle, stop = heapq.heappop(heap)
-            if not alive[i] or end[i] != middle or after[i] >= n or end[after[i]] != stop:
-                continue
-            gone = after[i]
-            alive[gone] = False
-            end[i], after[i] = stop, after[gone]
-            if after[i] < n:
-                before[after[i]] = i
-            offer(before[i])
-            offer(i)
-        return np.array([self.ranks[word[i : end[i]]] for i in range(n) if alive[i]], dtype="<u4").tobytes()
+        nxt[at + size - 1] = -1
+        start = pa.table({"w": w, "pos": (np.arange(len(raw)) - at[w]).astype(np.int32), "tok": tok, "nxt": nxt, "n": size[w]})
+        found = []
+        for sql, own in ((SHORT_SQL, size[w] <= LONG), (LONG_SQL, size[w] > LONG)):
+            if own.any():
+                self.con.execute(f"SET memory_limit = '{max(MEMORY_MB, BYTES_A_BYTE * int(own.sum()) >> 20)}MB'")
+                out = self.ask(sql, "start", start if own.all() else start.filter(pa.array(own)))
+                found.append((out["w"].to_numpy(), out["tok"].to_numpy().astype("<u4")))
+        where, ids = found[0]
+        if len(found) > 1:
+            where, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(where, kind="stable")
+            where, ids = where[order], ids[order]
+        marks = 4 * np.append(np.searchsorted(where, w[ends - lengths]), len(ids))
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True)]
 
     def learn(self, words: set[str]) -> None:
         """Put packed ids of new words into the cache; whole words that are pieces need no merge."""
         fresh: list[tuple[str, bytes]] = []
+        total = 0
         for word in words:
             raw = word.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(raw)
             if rank is not None:
                 self.known[word] = rank.to_bytes(4, "little")
-            elif len(raw) > LONG_WORD:
-                self.known[word] = self.contract_long(raw)
-            else:
-                fresh.append((word, raw))
-        for i in range(0, len(fresh), WORDS_A_QUERY):
-            part = fresh[i : i + WORDS_A_QUERY]
-            for (word, _), ids in zip(part, self.contract([raw for _, raw in part]), strict=True):
-                self.known[word] = ids
+                continue
+            if fresh and total + len(raw) > BYTES_A_QUERY:
+                self._learn(fresh)
+                fresh, total = [], 0
+            fresh.append((word, raw))
+            total += len(raw)
+        if fresh:
+            self._learn(fresh)
+
+    def _learn(self, fresh: list[tuple[str, bytes]]) -> None:
+        for (word, _), ids in zip(fresh, self.contract([raw for _, raw in fresh]), strict=True):
+            self.known[word] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
@@ -167,36 +210,27 @@ class Codec:
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each id sequence; unknown ids raise, since they would lose text."""
-        out: list[bytes] = []
-        i = 0
-        while i < len(packed):
-            j, rows = i, 0
-            while j < len(packed) and (j == i or rows + len(packed[j]) // 4 <= ROWS_A_DECODE):
-                rows += len(packed[j]) // 4
-                j += 1
-            out += self._decode(packed[i:j])
-            i = j
-        return out
-
-    def _decode(self, packed: list[bytes]) -> list[bytes]:
-        sizes = np.array([len(x) // 4 for x in packed])
+        sizes = np.array([len(x) // 4 for x in packed], dtype=np.int64)
         ids = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)
         d = np.repeat(np.arange(len(packed), dtype=np.int32), sizes)
+        out: list[list[bytes]] = [[] for _ in packed]
+        for i in range(0, len(ids), ROWS_A_DECODE):
+            for k, data in self._decoded(d[i : i + ROWS_A_DECODE], ids[i : i + ROWS_A_DECODE]):
+                out[k].append(data)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _decoded(self, d: np.ndarray, ids: np.ndarray) -> list[tuple[int, bytes]]:
+        """The bytes of each ``d`` in turn."""
         got = self.ask(DECODE_SQL, "tokens", pa.table({"d": d, "pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
-        out = [b""] * len(packed)
         pieces = got["pieces"].combine_chunks()
-        if pieces.values is None or len(pieces.values) != len(ids):
-            raise ValueError("an id is not in the vocabulary")
-        if not len(ids):
-            return out
         values, offsets = pieces.values, pieces.offsets.to_numpy()
+        if len(values) != len(ids):
+            raise ValueError("an id is not in the vocabulary")
         big = pa.types.is_large_binary(values.type)
         _, marks, data = values.buffers()
         marks = np.frombuffer(marks, dtype=np.int64 if big else np.int32)[values.offset : values.offset + len(values) + 1]
         data = memoryview(data)
-        for k, a, b in zip(got["d"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            out[k] = bytes(data[marks[a] : marks[b]])
-        return out
+        return [(k, bytes(data[marks[a] : marks[b]])) for k, a, b in zip(got["d"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
 #: Codecs of this worker process, by vocabulary path and pattern.

@@ -244,12 +244,31 @@ def test_byte_bpe_equals_the_library(spark, odd):
     packed = codec.encode(texts)
     assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [enc.encode_ordinary(t) for t in texts]
     assert codec.decode(packed) == [t.encode() for t in texts]
-    word = ("".join(r.choice("aabtion") for _ in range(300))).encode()
-    assert codec.contract([word])[0] == codec.contract_long(word)
     back = {(x.doc_id, x.text) for x in byte_bpe.decode(byte_bpe.encode(odd, RANKS, public.PATTERN), RANKS, public.PATTERN).collect()}
     assert back == {(x.doc_id, x.text or "") for x in odd.collect()}
 
 
+def test_byte_bpe_of_long_words_equals_the_library(monkeypatch):
+    """Unbroken words, many rounds, and pieces that start merges of lower rank, under the worker's memory limit."""
+    core = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})._core_bpe
+    codec = byte_bpe.Codec(RANKS, public.PATTERN)
+    r = random.Random(8)
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n)).encode()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [some(letters, 500) for _ in range(600)] + [some("acgt", 50_000), some("eationsr", 4_000), some("漢字かな", 3_000), b"ab" * 30_000, b"a" * 1_000_001, some(letters, 200_000)]
+    equal = lambda words: all(np.frombuffer(x, "<u4").tolist() == core.encode_single_piece(w) for w, x in zip(words, codec.contract(words), strict=True))
+    assert equal(words[:600]) and all(equal([w]) for w in words[600:])
+    mixed = [some(r.choice(["ab", "aabtion", letters, "eé漢"]), r.randint(1, 900)) for _ in range(300)]
+    for limit in (0, 40, 10_000):  # either query gives the same ids
+        monkeypatch.setattr(byte_bpe, "LONG", limit)
+        assert equal(mixed[:60] if limit > 900 else mixed)
+    monkeypatch.setattr(byte_bpe, "ROWS_A_DECODE", 7)
+    packed = codec.encode(["one text of some words", "", "漢字かな交じり"])
+    assert codec.decode(packed) == ["one text of some words".encode(), b"", "漢字かな交じり".encode()]
+    with pytest.raises(ValueError):
+        codec.decode([np.array([2**31 - 1], "<u4").tobytes()])
+
+
 def test_trie_counts_equal_a_plain_segmentation():
     costs = trie_counts.costs(byte_bpe.read_ranks(RANKS))
 

@@ -99,47 +99,88 @@ def test_base_spans_equal_the_plain_patterns():
         assert secrets.base_spans(text) == want
 
 
+def random_field(seed, keys=frozenset()):
+    rng = np.random.default_rng(seed)
+    return secrets.Field(rng.normal(size=(2, 1 << secrets.BITS)).astype(np.float32), rng.normal(size=(3, 3)), keys)
+
+
 def test_field_is_exact():
-    """Viterbi and marginals equal enumeration of all tag sequences."""
-    rng = np.random.default_rng(0)
-    field = secrets.Field(rng.normal(size=(3, 1 << secrets.BITS)).astype(np.float32), rng.normal(size=(4, 3)))
-    features = [rng.integers(0, 1 << secrets.BITS, 5) for _ in range(4)]
-    s = field.scores(features)
+    """Viterbi and posteriors equal enumeration of all tag sequences."""
+    field = random_field(0)
+    features = np.random.default_rng(1).integers(0, 1 << secrets.BITS, (4, secrets.FEATURES))
+    s = np.hstack((np.zeros((4, 1)), field.scores(features)))
     paths = list(itertools.product(range(3), repeat=4))
-    value = [sum(s[i, t] for i, t in enumerate(p)) + sum(field.moves[a, b] for a, b in zip((3, *p), p)) for p in paths]
-    assert tuple(field.viterbi(features)) == paths[int(np.argmax(value))]
+    value = [sum(s[i, t] for i, t in enumerate(p)) + sum(field.moves[a, b] for a, b in zip((0, *p), p)) for p in paths]
+    assert tuple(field.viterbi(s[:, 1:])) == paths[int(np.argmax(value))]
+    closed = [v + field.moves[p[-1], 0] for v, p in zip(value, paths)]
+    assert tuple(field.viterbi(s[:, 1:], ends=False)) == paths[int(np.argmax(closed))]
     w = np.exp(np.array(value) - max(value))
-    one, _ = field.marginals(features)
-    assert np.allclose(one, [[sum(x for x, p in zip(w, paths) if p[i] == t) / w.sum() for t in range(3)] for i in range(4)])
-
-
-def test_field_learns_beyond_the_patterns():
-    r = random.Random(2)
-    key = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
-    texts = [f"set token = {key()} here" for _ in range(80)] + [f"mail user{i}@host{i}.example.com and 4111111111111111" for i in range(80)]
-    field = secrets.train([e for t in texts for e in secrets.labelled(t)])
-    secret = key()
-    text = f"value {secret} rest"
-    assert ("crf", 6, 46) in secrets.scan(text, field)[1]
-    assert secrets.redact(f"token={secret} x", field) == "[SECRET] x"
-    assert secrets.scan("mail me@host9.example.com", field)[1] == []
-
-
-def test_field_tags_short_digitless_and_broken_values():
-    """Weights alone decide on values of any characters from six on, and fast tags equal plain Viterbi."""
-    for value in ("Tr0ub4d0r", "kWzQxVbJ", "Xk9#mQ2z!vB7w"):
-        run = next(x for x in secrets.runs(f"pwd: {value} end") if x.span[0] == 5)
-        field = secrets.Field(*(lambda x: (x.weights, x.moves))(secrets.train([(run.features, [secrets.BEGIN] + [secrets.IN] * (len(run.places) - 1))])))
-        assert ("crf", 5, 5 + len(value)) in secrets.scan(f"pwd: {value} end", field)[1]
-    rng = np.random.default_rng(2)
-    field = secrets.Field(rng.normal(size=(3, 1 << secrets.BITS)).astype(np.float32), rng.normal(size=(4, 3)))
-    text = "plain words, and user@host.example.com then Xk9#mQ2z!vB7w or p4ss=w_ord 漢字かな交じり文 (quoted)."
-    field.weights[0] += 1.0
-    field = secrets.Field(field.weights, field.moves)
-    lead = field.lead(secrets.file_features(text))
-    for x in secrets.runs(text):
-        assert field.tags(x) == field.viterbi(x.features)
-        assert not field.plain(text, *x.span, lead) or not any(field.tags(x))
+    padded = np.concatenate((s, np.ones((2, 3))))[None]
+    one, expected = secrets.posteriors(padded, field.moves, np.array([4]))
+    assert np.allclose(one[0, :4], [[sum(x for x, p in zip(w, paths) if p[i] == t) / w.sum() for t in range(3)] for i in range(4)]) and not one[0, 4:].any()
+    assert np.allclose(expected, [[sum(x * sum(y == (a, b) for y in zip((0, *p), p)) for x, p in zip(w, paths)) / w.sum() for b in range(3)] for a in range(3)])
+
+
+def test_scans_equal_plain_viterbi_over_all_tokens():
+    """Remembered sums and skipped stretches change nothing, under weights that favour outside a little, much, or not."""
+    r = random.Random(6)
+    bits = ["plain", " words", " and", " Xk9#mQ2z!vB7w", " user@host.example.com", "=", " ", "漢字", "\n", " 4111111111111111", "İx", " _", "ſ", "pwd", ": ", "deadBEEF99", "(quoted)", " aB", "\x00", " ½"]
+    for seed in range(12):
+        field = random_field(seed, frozenset({"plain", "words", "pwd"}))
+        field.weights[:, secrets.number("all")] -= (0, 3, 8, 14)[seed % 4]
+        scanner = secrets.Scanner(field)
+        for _ in range(60):
+            text = "".join(r.choice(bits) for _ in range(r.randint(0, 40)))
+            tokens, tags = field.tags(text)
+            places = [(m.end() - len(m[0].lstrip()), m.end()) for m in secrets.TOKEN.finditer(text)]
+            if tokens:
+                assert np.allclose(scanner.scores(text, tokens), field.scores(secrets.features_of(tokens, secrets.file_features(text), field.keys)), atol=1e-4)
+            want = []
+            for (a, b), tag in zip(places, tags):
+                if tag == secrets.BEGIN:
+                    want.append(("crf", a, b))
+                elif tag == secrets.IN:
+                    want[-1] = ("crf", want[-1][1], b)
+            assert scanner.spans(text) == want
+
+
+def test_field_finds_secrets_that_the_patterns_miss(spark):
+    """A planted table: short, digitless and broken values behind words that no pattern knows, and harmless look-alikes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    r = random.Random(17)
+    letters, some = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ", lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    value = [lambda: some(letters, 4) + some("23456789", 2) + some(letters, 3), lambda: some(letters, 14), lambda: some(letters, 4) + "#" + some(letters + "0123456789", 5) + "!" + some("0123456789", 3), lambda: some(letters + "0123456789", 32)]
+    lead = ["pwd: ", "passphrase is ", "login = ", 'credential: "', "access code: ", "auth=", "signing key => "]
+    rows, want, plain = [], {}, 0
+    for row in docs.filter("text is not null").orderBy("doc_id").limit(600).collect():
+        words = row.text.split(" ")
+        at = r.randrange(len(words) + 1)
+        before = "".join(x + " " for x in words[:at])
+        if row.doc_id % 2:
+            announced, v = r.choice(lead), r.choice(value)()
+            want[row.doc_id] = (len(before) + len(announced), len(before) + len(announced) + len(v))
+            rows.append((row.doc_id, before + announced + v + ('" ' if announced.endswith('"') else " ") + " ".join(words[at:])))
+        else:
+            plain += 1
+            rows.append((row.doc_id, before + r.choice(["order 2023-11-0042", "call +1 (212) 555-0187", "see v2.10.3", "mail me.too@site.example.com", "10.2.33.4"]) + " " + " ".join(words[at:])))
+    got = secrets.spans(spark.createDataFrame(rows, "doc_id long, text string"), secrets.fit(docs)).collect()
+    found = {x.doc_id: [tuple(map(int, s.split(":")[1:])) for s in x.spans.split(",") if s.startswith("crf")] for x in got}
+    assert sum(x.n_crf for x in got) == sum(map(len, found.values())) > 0
+    right = sum(any(a < want[d][1] and want[d][0] < b for a, b in found[d]) for d in want)
+    tagged = sum(map(len, found.values()))
+    assert right >= 0.9 * len(want) and right >= 0.9 * tagged
+    assert sum(bool(found[d]) for d in found if d not in want) <= 0.02 * plain
+    # Base columns and hashes don't depend on the field.
+    for x in got[:50]:
+        base = secrets.base_spans(dict(rows)[x.doc_id])
+        assert x.base_sha256 == sha(secrets.joined(base).encode()) and x.n_assign == sum(s[0] == "assign" for s in base)
+
+
+def test_redaction():
+    field = secrets.Field()
+    scanner = secrets.Scanner(field)
+    assert scanner.redact("token=abcdef0123 x") == "[SECRET] x" and scanner.redact("") == "" and scanner.redact("nothing here") == "nothing here"
+    assert scanner.redact("a token=" + "0123456789abcdef" * 3 + " b AKIA" + "A" * 16) == "a [SECRET] b [SECRET]"
 
 
 def test_language_held_out_accuracy(spark):

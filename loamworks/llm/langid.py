@@ -7,8 +7,8 @@ score of a language is the sum over its words; the prediction is the best
 language, its posterior under equal priors the ``score``.
 
 Fitting uses a sample of at most about ``DOCS_A_LANGUAGE`` training documents a
-language.  The model is bounded by ``WORDS_A_LANGUAGE`` and
-``GRAMS_A_LANGUAGE`` entries a language.  Prediction reads whole texts.
+language, and all words and n-grams of their whole texts: the model is bounded
+by that sample alone.  Prediction reads whole texts.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; with nothing to learn from every text is; ties go to the first language by
@@ -17,39 +17,41 @@ name; repeated rows give repeated results; other columns are ignored.
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import re
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import map_text, slices, tidy
 from .folds import bounded_sample, held_out
 
-DOCS_A_LANGUAGE = 2_000
-WORDS_A_LANGUAGE = 20_000
-GRAMS_A_LANGUAGE = 20_000
+DOCS_A_LANGUAGE = 1_000
 LONGEST_GRAM = 5
 #: Additive smoothing of counts.
 SMOOTH = 0.5
 #: Entries of a worker's table of chunk scores before it is emptied.
 CHUNKS = 250_000
-#: Characters of a word that n-grams are made from in one go; longer words are cut into such runs.
-WORD_RUN = 64
+#: Characters from which on a word's n-grams are averaged piece by piece.
+LONG = 4_096
 UNKNOWN = "und"
 
-LETTERS = re.compile(r"[^\W\d_]+")
+
+@cache
+def letters() -> re.Pattern:
+    r"""Runs of letters, the characters of category L: of what ``\w`` takes, no digits, marks or numbers such as a half."""
+    out = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+    return re.compile(rf"[^\W\d_{''.join(out)}]+")
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case, very long ones in pieces of ``WORD_RUN`` characters."""
-    out = []
-    for w in LETTERS.findall(text.lower()):
-        out += [w] if len(w) <= WORD_RUN else [w[i : i + WORD_RUN] for i in range(0, len(w), WORD_RUN)]
-    return out
+    """Runs of letters in lower case."""
+    return letters().findall(text.lower())
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -64,6 +66,15 @@ class Model:
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]) -> None:
         self.langs, self.words, self.grams = langs, words, grams
 
+    def __getstate__(self) -> tuple:
+        """Names beside one matrix a table: a fraction of the arrays' own size."""
+        pack = lambda t: ("\n".join(t), np.array(list(t.values()), dtype=np.float64).reshape(len(t), len(self.langs)))
+        return self.langs, pack(self.words), pack(self.grams)
+
+    def __setstate__(self, state: tuple) -> None:
+        self.langs = state[0]
+        self.words, self.grams = (dict(zip(names.split("\n"), rows, strict=True)) if len(rows) else {} for names, rows in state[1:])
+
     @classmethod
     def of_counts(cls, counts: list[tuple[str, str, str, int]]) -> Model:
         """From rows ``kind ('w' or 'g' and its length), lang, item, n``."""
@@ -136,15 +147,36 @@ class ChunkTable:
                 return found
         return []
 
+    def long_score(self, word: str) -> np.ndarray:
+        """Score of a very long word, from bounded pieces of its n-grams."""
+        row = self.word_rows.get(word)
+        if row is not None:
+            return self.matrix[row]
+        marked, find = f"<{word}>", self.gram_rows.get
+        for n in range(LONGEST_GRAM, 0, -1):
+            total, found = np.zeros(self.matrix.shape[1]), 0
+            for at in range(0, len(marked) - n + 1, LONG):
+                rows = [x for i in range(at, min(at + LONG, len(marked) - n + 1)) if (x := find(marked[i : i + n])) is not None]
+                total += self.matrix[rows].sum(axis=0)
+                found += len(rows)
+            if found:
+                return total / found
+        return np.zeros(self.matrix.shape[1])
+
     def learn(self, new: list[str]) -> None:
         flat: list[int] = []
         sizes: list[int] = []
         owners: list[int] = []
-        letters = np.zeros(len(new))
+        long: list[tuple[int, np.ndarray]] = []
+        count = np.zeros(len(new))
         for k, chunk in enumerate(new):
-            words = [chunk.lower()] if chunk.isalpha() and len(chunk) <= WORD_RUN else words_of(chunk)
-            letters[k] = len(words)
+            low = chunk.lower()
+            words = [low] if low.isalpha() else words_of(chunk)
+            count[k] = len(words)
             for w in words:
+                if len(w) > LONG:
+                    long.append((k, self.long_score(w)))
+                    continue
                 run = self.word_run(w)
                 if run:
                     flat += run
@@ -155,7 +187,9 @@ class ChunkTable:
             size = np.array(sizes)
             means = np.add.reduceat(self.matrix[flat], np.cumsum(size) - size, axis=0) / size[:, None]
             np.add.at(fresh[:, :-1], owners, means)
-        fresh[:, -1] = letters
+        for k, mean in long:
+            fresh[k, :-1] += mean
+        fresh[:, -1] = count
         start = len(self.rows)
         self.rows = np.concatenate((self.rows, fresh))
         self.known.update(zip(new, range(start, start + len(new)), strict=True))
@@ -203,15 +237,13 @@ def fit(docs: DataFrame) -> Model:
     """Learn from text and non-null lang of the rows that aren't held out."""
     learn = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     sample = bounded_sample(learn, "lang", DOCS_A_LANGUAGE, seed="langid")
-    order = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "item")
-    cap = F.when(F.col("kind") == "w", WORDS_A_LANGUAGE).otherwise(GRAMS_A_LANGUAGE)
-    top = counts(sample).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= cap)
-    return Model.of_counts([tuple(r) for r in top.select("kind", "lang", "item", "n").collect()])
+    found = counts(sample).toArrow()
+    return Model.of_counts(list(zip(*(found.column(c).to_pylist() for c in ("kind", "lang", "item", "n")), strict=True)))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the limits above
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def make():
         table = ChunkTable(shared.value)

@@ -199,14 +199,26 @@ def test_language_table_equals_the_plain_model():
             counts += [(f"g{k}", lang, x, n) for x, n in g.items()]
     model = langid.Model.of_counts(counts)
     table = langid.ChunkTable(model)
-    texts = ["the chat", "tapistry sat!", "zzz 123", "", "Cat-le x'y " + "q" * 200]
+    texts = ["the chat", "tapistry sat!", "zzz 123", "", "Cat-le x'y " + "q" * 200, "İSTANBUL", "ſat ǅ ﬁn the½cat", "thecat" * 3_000, "q" * 9_000, "½ Ⅷ x²y"]
     cut = [t.split() for t in texts]
     at, end = table.places(cut), np.cumsum([len(c) for c in cut])
     for t, c, e in zip(texts, cut, end):
         name, score = model.judge(table.rows[at[e - len(c) : e]].sum(axis=0))
         want = model.predict(t)
         assert name == want[0] and abs(score - want[1]) < 1e-12
-    assert model.predict("123 !!") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
+    for none in ("123 !!", None, "", "½", "²", "①②", "Ⅷ", "\u0301", "_ _"):
+        assert model.predict(none) == ("und", 0.0)
+    import pickle
+
+    again = pickle.loads(pickle.dumps(model))
+    assert again.predict("the chat") == model.predict("the chat") and again.words.keys() == model.words.keys() and again.grams.keys() == model.grams.keys()
+
+
+def test_letters_are_those_of_category_l():
+    import unicodedata
+
+    every = map(chr, range(0x110000))
+    assert all(bool(langid.letters().fullmatch(c)) == (unicodedata.category(c)[0] == "L") for c in every)
 
 
 def test_toxicity_held_out(spark):

@@ -5,9 +5,14 @@ is permuted among the values of its format, so it keeps its form (length,
 separators, check digits, a real calendar day) and equal values stay equal in
 all documents, however they are separated.  With the key, values come back.
 
-Kinds: card (Luhn), iban (mod 97), ssn (issued ranges), phone (10 national
-digits with area code), ip (IPv4), date (calendar day 1900 to 2099), email (its
-local part's letters and digits).
+Kinds: card (Luhn), iban (mod 97), ssn (issued ranges), phone (national number
+with an exchange code that can be dialled), ip (IPv4), date (calendar day 1900
+to 2099), email (its local part's letters and digits).
+
+A changed value is read again as the same kind and in the same way, or values
+wouldn't come back: cycle walking goes on until it is.  So a date keeps its
+order of day and month and how its parts are padded, and a phone number keeps
+whether its area code can be assigned.
 
 Defined results: a null text stays null with no values; an empty text stays
 empty; repeated rows give repeated results; other columns are ignored.
@@ -101,6 +106,40 @@ def shorter_cards(s: str) -> list[tuple[int, int]]:
     return [(a, b) for _, a, b in sorted(found)]
 
 
+def dialled(code: str) -> bool:
+    """Whether an area or exchange code can be assigned: 2 to 9 first, and not N11."""
+    return code[0] in "23456789" and code[1:] != "11"
+
+
+def read_date(s: str) -> tuple[int, tuple[str, str, str]] | None:
+    """Days since ``FIRST_DAY``, and the form: separator, order of the parts, padding of the first and last of day and month.
+
+    Day comes before month unless only the other way is a calendar day.  A part
+    is short (``s``: one digit), padded (``p``: 0 first) or full (two digits); a
+    date with short parts only pads none, one with padded parts only pads all,
+    and one with both (``sp`` or ``ps``) keeps each part as it is.
+    """
+    a, b, c = parts = re.split("[./-]", s)
+    year_first = len(a) == 4
+    kinds = "".join("s" if len(x) == 1 else "p" if x[0] == "0" else "" for x in (parts[1:] if year_first else parts[:2]))
+    padding = kinds if set(kinds) == {"s", "p"} else "s" if "s" in kinds else "p"
+    for order, (y, m, d) in (("ymd", parts),) if year_first else (("dmy", (c, b, a)), ("mdy", (c, a, b))):
+        try:
+            day = datetime.date(int(y), int(m), int(d)).toordinal()
+        except ValueError:
+            continue
+        return (day - FIRST_DAY, (s[len(a)], order, padding)) if FIRST_DAY <= day <= LAST_DAY else None
+    return None
+
+
+def written_date(day: int, form: tuple[str, str, str]) -> str:
+    mark, order, padding = form
+    now = datetime.date.fromordinal(FIRST_DAY + day)
+    parts = {"y": f"{now.year:04d}", "m": now.month, "d": now.day}
+    places = iter(padding * 2 if len(padding) == 1 else padding)
+    return mark.join(parts[k] if k == "y" else f"{parts[k]:02d}" if next(places) == "p" else str(parts[k]) for k in order)
+
+
 def _refill(form: str, chars: str) -> str:
     """``form`` with its letters and digits replaced in turn."""
     it = iter(chars)
@@ -169,7 +208,13 @@ class Pseudonyms:
     def phone(self, s: str) -> str | None:
         at = 2 if s.startswith("+1") else 0
         digits = "".join(c for c in s[at:] if c.isdigit())
-        return s[:at] + _refill(s[at:], self._number(digits, "phone"))
+        if digits[:3] == "000" or not dialled(digits[3:6]):
+            return None
+        number = digits
+        while True:
+            number = self._number(number, "phone")
+            if number[:3] != "000" and dialled(number[3:6]) and dialled(number[:3]) == dialled(digits[:3]):
+                return s[:at] + _refill(s[at:], number)
 
     def ip(self, s: str) -> str | None:
         parts = [int(x) for x in s.split(".")]
@@ -179,24 +224,15 @@ class Pseudonyms:
         return ".".join(map(str, x.to_bytes(4, "big")))
 
     def date(self, s: str) -> str | None:
-        a, b, c = re.split("[./-]", s)
-        mark = next(x for x in s if x in "./-")
-        year_first = len(a) == 4
-        # Day before month unless only the other way is a calendar day.
-        orders = [(a, b, c)] if year_first else [(c, b, a), (c, a, b)]
-        wide = {len(x) for x in ((b, c) if year_first else (a, b))} == {2} or any(x[0] == "0" for x in (a, b, c) if len(x) == 2)
-        for k, (y, m, d) in enumerate(orders):
-            try:
-                day = datetime.date(int(y), int(m), int(d)).toordinal()
-            except ValueError:
-                continue
-            if not FIRST_DAY <= day <= LAST_DAY:
-                return None
-            now = datetime.date.fromordinal(FIRST_DAY + self.feistel.permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", self.back))
-            pad = (lambda n: f"{n:02d}") if wide else str
-            y, m, d = f"{now.year:04d}", pad(now.month), pad(now.day)
-            return mark.join((y, m, d) if year_first else (m, d, y) if k else (d, m, y))
-        return None
+        read = read_date(s)
+        if read is None:
+            return None
+        day, form = read
+        while True:
+            day = self.feistel.permute(day, LAST_DAY - FIRST_DAY + 1, "date", self.back)
+            new = written_date(day, form)
+            if read_date(new) == (day, form):
+                return new
 
     def email(self, s: str) -> str | None:
         local, _, domain = s.partition("@")

@@ -405,6 +405,81 @@ def test_pseudonyms_equal_brute_force_without_prefilter():
         assert new.startswith("pay " + p.card(found[: ends[0]])) and n["card"] == 1 and n["ip"] == 1 and q.replace(new)[0] == given
 
 
+def test_dates_and_phones_come_back_in_their_form():
+    """All days of many years in ten forms, and phone numbers, also invalid ones."""
+    p, q = pseudonyms.Pseudonyms(b"k"), pseudonyms.Pseudonyms(b"k", back=True)
+    r = random.Random(12)
+    forms = ["{d}/{m}/{y}", "{m}/{d}/{y}", "{d:02}/{m:02}/{y}", "{m:02}/{d:02}/{y}", "{y}-{m:02}-{d:02}", "{y}-{m}-{d}", "{d}.{m}.{y}", "{d:02}.{m}.{y}", "{d}/{m:02}/{y}", "{y}/{m:02}/{d}"]
+    given = {f.format(y=r.randint(1895, 2104), m=r.randint(1, 13), d=r.randint(1, 31)) for f in forms for _ in range(700)}
+    changed = {x: p.date(x) for x in given}
+    done = {x: y for x, y in changed.items() if y}
+    assert len(done) > 5_000 and len(set(done.values())) == len(done)
+    for x, y in done.items():
+        assert q.date(y) == x and pseudonyms.read_date(x)[1] == pseudonyms.read_date(y)[1]
+        assert re.sub("[0-9]+", "", x) == re.sub("[0-9]+", "", y)
+    import datetime
+
+    for x in given - set(done):
+        a, b, c = map(int, re.split("[./-]", x))
+        for y, m, d in ((a, b, c),) if a > 31 else ((c, b, a), (c, a, b)):
+            try:
+                assert not 1900 <= datetime.date(y, m, d).year <= 2099
+                break
+            except ValueError:
+                continue
+    ok = lambda c: c[0] in "23456789" and c[1:] != "11"
+    for _ in range(3_000):
+        area, exchange = (f"{r.randrange(1000):03d}" for _ in range(2))
+        x = r.choice(["({}) {}-{:04d}", "+1 ({}) {}-{:04d}", "{}-{}-{:04d}", "{}.{}.{:04d}"]).format(area, exchange, r.randrange(10_000))
+        y = p.phone(x)
+        assert (y is not None) == (area != "000" and ok(exchange))
+        if y:
+            digits = re.sub("[^0-9]", "", y)[-10:]
+            assert q.phone(y) == x and ok(digits[3:6]) and ok(digits[:3]) == ok(area) and re.sub("[0-9]", "", x) == re.sub("[0-9]", "", y)
+    assert p.phone("(000) 000-0000") is None
+
+
+def test_detection_equals_plain_patterns(spark):
+    """A twin without the joint pattern: at each place the kinds are tried in turn, each with its own pattern."""
+    p, twin = pseudonyms.Pseudonyms(b"k"), pseudonyms.Pseudonyms(b"k")
+
+    def plain(text):
+        out, at, found = "", 0, 0
+        while at < len(text):
+            for kind, pattern in pseudonyms.PATTERNS.items():
+                m = re.compile(pattern, re.ASCII).match(text, at)
+                if not m:
+                    continue
+                a, b, new = *m.span(), getattr(twin, kind)(m[0])
+                if new is None and kind == "card":
+                    for x, y in pseudonyms.shorter_cards(m[0]):
+                        if new := twin.card(m[0][x:y]):
+                            a, b = m.start() + x, m.start() + y
+                            break
+                if new is not None:
+                    out, at, found = out + text[at:a] + new, b, found + 1
+                elif kind == "email":
+                    out, at = out + text[at : m.end()], m.end()
+                else:
+                    out, at = out + text[at], at + 1
+                break
+            else:
+                out, at = out + text[at], at + 1
+        return out, found
+
+    r = random.Random(31)
+    bits = ["1.2.3.4", "host ", " up", "8.8.8.8", "2021-03-04", "31/12/1999", "4111 1111 1111 1111", "+1 (415) 555-2671", "123-45-6789", "a.b7@c.de", "DE89 3704 0044 0532 0130 00", " ", " ", "12", "-", ".", "x", "999.1.1.1", "2021-02-30", "é", "@", "(017) 555-7713"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 8))) for _ in range(3_000)]
+    for t in texts:
+        new, n = p.replace(t)
+        assert (new, sum(n.values())) == plain(t)
+    for t in ("host 1.2.3.4 up", "host 1.2.3.4 up since 10 h", "1.2.3.4"):
+        assert "1.2.3.4" not in p.replace(t)[0]
+    rows = [(i, t) for i, t in enumerate(texts[:40])] + [(None, "on 2021-03-04"), (3, None), (4, "")]
+    got = pseudonyms.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()
+    assert Counter((x.doc_id, x.text, x.n_values) for x in got) == Counter((d, None, 0) if t is None else (d, *plain(t)) for d, t in rows)
+
+
 def test_spaced_seeds_tolerate_substitutions(spark):
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))

@@ -55,23 +55,22 @@ SELECT f.*, NOT base_failed AND NOT coalesce(100 * removed > 50 * n, false) AS k
 FROM failed f LEFT JOIN lost l ON l.doc_id = f.doc_id
 """
 
+#: The rule itself, without masks or seeds: an item's stretch of 20 words (or all of a shorter one) agrees with the
+#: document in 75 % of its places, an item of fewer than nine words in all.
 SPACED_SEEDS = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
 dw AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS p FROM d),
-iw AS (SELECT item_id, len(w) AS m, least(20, len(w)) AS reach, unnest(w) AS x, unnest(range(0, len(w))) AS q FROM i WHERE len(w) >= 9),
+iw AS (
+    SELECT item_id, len(w) AS m, least(20, len(w)) AS reach, CASE WHEN len(w) < 9 THEN 100 ELSE 75 END AS percent, unnest(w) AS x, unnest(range(0, len(w))) AS q
+    FROM i),
 same AS (
-    SELECT doc_id, item_id, m, reach, p - q AS shift, list(q ORDER BY q) AS qs
-    FROM dw JOIN iw USING (x) GROUP BY doc_id, item_id, m, reach, p - q HAVING count(*) >= 0.75 * any_value(reach)),
+    SELECT doc_id, item_id, m, reach, percent, p - q AS shift, list(q ORDER BY q) AS qs
+    FROM dw JOIN iw USING (x) GROUP BY doc_id, item_id, m, reach, percent, p - q HAVING 100 * count(*) >= any_value(percent * reach)),
 stretch AS (SELECT *, unnest(range(0, m - reach + 1)) AS s FROM same),
-good AS (
-    SELECT * FROM stretch
-    WHERE 100 * len(list_filter(qs, lambda q: q >= s AND q < s + reach)) >= 75 * reach
-      AND len(list_filter(range(s, s + reach - 8), lambda p: list_has_all(qs, [p, p + 1, p + 3, p + 4, p + 6, p + 8]) OR list_has_all(qs, [p, p + 2, p + 4, p + 5, p + 7, p + 8]))) > 0),
 hits AS (
-    SELECT DISTINCT doc_id, item_id FROM good
-    UNION
-    SELECT doc_id, item_id FROM d JOIN i ON d.w = i.w WHERE len(d.w) BETWEEN 1 AND 8)
+    SELECT DISTINCT doc_id, item_id FROM stretch
+    WHERE 100 * len(list_filter(qs, lambda q: q >= s AND q < s + reach)) >= percent * reach)
 SELECT d.doc_id, count(h.item_id) AS n_items, min(h.item_id) AS first_item, count(h.item_id) = 0 AS kept
 FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id
 """

@@ -13,8 +13,9 @@ words can agree in ``AGREE_PERCENT`` has a place for one of them.
 Items of fewer than ``LEAST`` words match where a document has exactly these
 words in a row.
 
-The seeds of the benchmark are broadcast only up to ``BROADCAST_SEEDS`` rows;
-beyond that windows are joined by shuffle and hits go back to their documents.
+The seeds of the benchmark are broadcast only up to ``BROADCAST_SEEDS`` rows, each
+with the ``NEAR`` item words around it and no more, so with at most some 350
+bytes; beyond that windows are joined by shuffle and hits go back to their documents.
 
 Defined results: null and empty texts and items match nothing; rows that repeat
 a doc_id are told apart by their text; repeated items count once; other columns
@@ -33,8 +34,8 @@ MASKS = ("11101", "100111")
 LEAST = 9
 REACH = 20
 AGREE_PERCENT = 75
-#: Rows of about 40 bytes and the items' words with them.
-BROADCAST_SEEDS = 400_000
+#: Rows of at most some 350 bytes: 70 MB.
+BROADCAST_SEEDS = 200_000
 BROADCAST_IDS = 1_000_000
 
 
@@ -69,16 +70,22 @@ def exploded(rows: DataFrame, *carried: str) -> DataFrame:
 NEAR = 2 * REACH - min(map(len, MASKS))
 
 
+def _near_items(seeds: DataFrame, *carried: str) -> DataFrame:
+    """Seeds with only the item words near them: ``low`` is the first one's place, ``rest`` their number to the item's end."""
+    low = seeds.withColumn("low", F.greatest(F.lit(0), F.col("item_at") + F.col("span") - REACH))
+    return low.select(*carried, "item_id", "item_at", "span", "low", (F.size("item") - F.col("low")).alias("rest"), F.least(F.lit(REACH), F.size("item")).alias("reach"), F.slice("item", F.col("low") + 1, F.lit(NEAR)).alias("x"))
+
+
 def _around(hits: DataFrame) -> DataFrame:
-    """Hits with only the words near them, on both sides: a few hundred bytes a row.
+    """Hits with only the document's words near them: a few hundred bytes a row.
 
     Slices are generated code, so they are cut inside the join's stage and a
     long document's words never leave it.
     """
-    low = hits.withColumn("low", F.greatest(F.lit(0), F.col("item_at") + F.col("span") - REACH)).withColumn("start", F.col("low") + F.col("at") - F.col("item_at"))
-    return low.select(
-        "doc_id", "digest", "item_id", "span", (F.col("item_at") - F.col("low")).alias("p"), (F.size("item") - F.col("low")).alias("rest"), F.least(F.lit(REACH), F.size("item")).alias("reach"),
-        F.slice("item", F.col("low") + 1, F.lit(NEAR)).alias("x"), F.slice("words", F.greatest(F.lit(0), F.col("start")) + 1, F.lit(NEAR)).alias("y"), F.greatest(F.lit(0), -F.col("start")).alias("gap"),
+    start = hits.withColumn("start", F.col("low") + F.col("at") - F.col("item_at"))
+    return start.select(
+        "doc_id", "digest", "item_id", "span", (F.col("item_at") - F.col("low")).alias("p"), "rest", "reach", "x",
+        F.slice("words", F.greatest(F.lit(0), F.col("start")) + 1, F.lit(NEAR)).alias("y"), F.greatest(F.lit(0), -F.col("start")).alias("gap"),
     )
 
 
@@ -113,11 +120,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("digest"), word_hashes(F.col("text").cast("string")).alias("words"))
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         # The words ride along inside the stage; only confirmed hits leave it.
-        hits = exploded(rows, "doc_id", "digest", "words").drop("span").join(F.broadcast(seeds), "seed")
+        hits = exploded(rows, "doc_id", "digest", "words").drop("span").join(F.broadcast(_near_items(seeds, "seed")), "seed")
         found = _confirmed(hits)
     else:
         thin = exploded(rows, "doc_id", "digest").drop("span").join(seeds.drop("item"), "seed").select("doc_id", "digest", "item_id", "at", "item_at", "span").distinct()
-        hits = thin.join(items, "item_id").join(rows.select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), "words").distinct(), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")))
+        hits = _near_items(thin.join(items, "item_id"), "doc_id", "digest", "at").join(rows.select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), "words").distinct(), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")))
         found = _confirmed(hits)
     short = items.filter(f"size(item) < {LEAST}").select("item_id", F.size("item").alias("n"), F.xxhash64("item").alias("seed"))
     lengths = sorted(r.n for r in short.select("n").distinct().collect())

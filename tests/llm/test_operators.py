@@ -535,6 +535,19 @@ def test_leaks_equal_the_plain_rule_without_seeds(spark, monkeypatch):
     assert {(x.doc_id, x.item_id) for x in spaced_seeds.leaks(rows, benchmark).collect()} == want
 
 
+def test_a_very_long_item(spark, monkeypatch):
+    """Each broadcast row has only the words near its seed."""
+    words = [f"w{i % 4001}x{i // 7}" for i in range(10_000)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "what is the capital of france answer paris")], "item_id long, text string")
+    rows = [(1, "before it " + " ".join(words[5_000:5_020]) + " after"), (2, " ".join(words[:14])), (3, " ".join(words[-20:])), (4, "well what is the capital of france answer paris then"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (200_000, 0):
+        monkeypatch.setattr(spaced_seeds, "BROADCAST_SEEDS", limit)
+        assert {(x.doc_id, x.item_id) for x in spaced_seeds.leaks(docs, benchmark).collect()} == {(1, 1), (3, 1), (4, 2)}
+    items = spaced_seeds.exploded(benchmark.select("item_id", spaced_seeds.word_hashes(F.col("text")).alias("words"), spaced_seeds.word_hashes(F.col("text")).alias("item")), "item_id", "item").withColumnRenamed("at", "item_at")
+    assert spaced_seeds._near_items(items, "seed").agg(F.max(F.size("x"))).first()[0] <= spaced_seeds.NEAR
+
+
 def test_large_benchmark_by_shuffle(spark, monkeypatch):
     docs, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     want = {tuple(r) for r in spaced_seeds.leaks(docs, benchmark).collect()}

@@ -19,8 +19,12 @@ With 32 bands of 4 registers, a pair at similarity 0.75 escapes the bands with
 probability 2.6e-6, and the two-bit comparison with about 2e-7.  No bucket is
 capped.
 
+Hot classes: rows are joined only with classes of several members, from a
+written table, so that adaptive execution splits a class of very many rows;
+texts without words take no part in any join.
+
 Defined results: texts that are null or without words have no links; rows that
-repeat a doc_id get the same component when their texts are equal; a row with a
+repeat a doc_id are one node, which has the links of all its texts; a row with a
 null doc_id joins its class, or has a null component if the class has no id;
 other columns are ignored; an empty table gives an empty result.
 """
@@ -270,20 +274,22 @@ def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     docs = docs.select("doc_id", "text")
     table = landed(sketch(docs), "sketch")
-    classes = table.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = landed(table.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").select("doc_id", "n", "rep", "d1", "d2"), "members")
-    standing = members.filter("rep = doc_id").select(F.col("doc_id").alias("id"), "d1", "d2").distinct()
-    reps = landed(table.filter("n > 0").withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "regs", "signs"), "reps")
+    filled = table.filter("n > 0")
+    classes = landed(filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "classes")
+    several = classes.filter("c > 1").select("d1", "d2", "rep")
+    members = landed(filled.select("doc_id", "n", "d1", "d2").join(several, ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
+    standing = classes.filter("rep is not null").select(F.col("rep").alias("id"), "d1", "d2")
+    reps = landed(filled.withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "regs", "signs"), "reps")
     bands = landed(banded(reps), "bands")
     first = landed(star_pairs(bands), "stars")
     links = landed(confirmed(docs, landed(likely(reps, first), "candidates")), "links")
-    labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = landed(rest_pairs(reps, bands, labels).join(first, ["a", "b"], "left_anti"), "rest")
-    if more.limit(1).count():
-        links = links.union(landed(confirmed(docs, more), "links"))
-        labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    own = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left")
-    out = own.withColumn("component_id", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("label", "rep")))
+    labels = landed(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    rest = landed(rest_pairs(reps, bands, labels).join(first, ["a", "b"], "left_anti"), "rest")
+    if rest.limit(1).count():
+        links = links.union(landed(confirmed(docs, landed(likely(reps, rest), "candidates")), "links"))
+        labels = landed(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    own = members.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("doc_id", "n", F.coalesce("label", "rep").alias("component_id"))
+    out = own.union(table.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
@@ -291,14 +297,22 @@ def groups(docs: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, all columns as they are.
 
-    Of rows that repeat a doc_id, one stays.
+    Where doc_ids repeat or are null, rows are told apart by doc_id and text:
+    different texts of one doc_id are different documents, and of rows that
+    repeat both one stays, unless their text has no word.
     """
-    lost = landed(groups(docs).filter("not kept").select("doc_id").filter("doc_id is not null").distinct(), "lost")
-    few = lost.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(lost) if few else lost, "doc_id", "left_anti")
-    again = landed(left.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
-    if not again.limit(1).count():
-        return left
-    free = "n" + "_" * max(map(len, docs.columns))  # a name that no column has
-    one = left.join(again, "doc_id", "left_semi").withColumn(free, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter(F.col(free) == 1).drop(free)
-    return left.join(again, "doc_id", "left_anti").unionByName(one)
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1 or doc_id is null")
+    if not repeated.limit(1).count():
+        lost = landed(groups(docs).filter("not kept").select("doc_id"), "lost")
+        few = lost.count() <= BROADCAST_IDS
+        return docs.join(F.broadcast(lost) if few else lost, "doc_id", "left_anti")
+    # Keys sort as doc_ids do among themselves; a null doc_id comes last.
+    free = "key" + "_" * max(map(len, docs.columns))  # a name that no column has
+    name = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 40, " "), F.lit("~"))
+    keyed = docs.withColumn(free, F.concat(name, F.lit("/"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
+    judged = landed(groups(keyed.select(F.col(free).alias("doc_id"), "text")), "judged")
+    lost = judged.filter("not kept").select(F.col("doc_id").alias(free)).distinct()
+    kept = keyed.join(lost, free, "left_anti")
+    again = landed(judged.filter("kept and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias(free)), "again")
+    one = kept.join(again, free, "left_semi").withColumn(free + "n", F.row_number().over(Window.partitionBy(free).orderBy(F.lit(0)))).filter(F.col(free + "n") == 1).drop(free + "n")
+    return kept.join(again, free, "left_anti").unionByName(one).drop(free)

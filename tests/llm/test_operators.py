@@ -271,6 +271,36 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == slow_groups(given)
 
 
+def test_one_document_of_each_group_stays(spark):
+    """Different texts of one doc_id both stay; copies, also under null ids, leave one; texts without words stay."""
+    a, b, c = ("one two three four five six seven", "a wholly different text with other words in it", "and a third text that is no copy of them either")
+    unique = spark.createDataFrame([(1, a), (2, a.upper()), (3, b), (4, None), (5, " ")], "doc_id long, text string")
+    assert sorted(x.doc_id for x in setsketch.without_copies(unique).collect()) == [1, 3, 4, 5]
+    rows = [(5, a, 1), (5, b, 2), (7, c, 3), (5, a, 4), (9, b, 5), (None, c, 6), (None, "only here without an id at all", 7), (None, None, 8), (8, "", 9), (8, "", 10)]
+    got = setsketch.without_copies(spark.createDataFrame(rows, "doc_id long, text string, key int"))
+    assert got.columns == ["doc_id", "text", "key"]
+    left = Counter((x.doc_id, x.text) for x in got.collect())
+    assert left == {(5, a): 1, (5, b): 1, (7, c): 1, (None, "only here without an id at all"): 1, (None, None): 1, (8, ""): 2}
+
+
+def test_rest_pairs_go_through_the_likelihood(spark, monkeypatch):
+    """Links that no star finds: two near groups whose bucket leads differ."""
+    r = random.Random(41)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(120)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randint(2, 5)):
+            w[r.randrange(120)] = word()
+        rows.append((i, " ".join(w)))
+    seen = []
+    likely = setsketch.likely
+    monkeypatch.setattr(setsketch, "likely", lambda reps, pairs: seen.append(pairs) or likely(reps, pairs))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in setsketch.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == slow_groups(rows) and len(seen) == 2
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 900, dtype=np.uint64)

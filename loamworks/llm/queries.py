@@ -48,7 +48,8 @@ def op6_recursive_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
-    return trie_counts.count(table(spark, sf_dir, "documents"), public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN)
+    docs = table(spark, sf_dir, "documents")
+    return trie_counts.count(docs, trie_counts.fit(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN), public.PATTERN)
 
 
 def op8_addressable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

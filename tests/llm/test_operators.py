@@ -56,7 +56,7 @@ def test_every_operator_takes_odd_and_empty_tables(spark, odd):
         n = docs.count()
         runs = [
             line_quality.judge(docs), secrets.spans(docs, secrets.fit(docs)), langid.identify(docs), toxicity.score(docs, toxicity.fit(docs, labels)), setsketch.groups(docs),
-            byte_bpe.digest(docs, RANKS, public.PATTERN), trie_counts.count(docs, RANKS, public.PATTERN), dac.round_trip(spark, docs, public.path("word_bpe_49k.json")),
+            byte_bpe.digest(docs, RANKS, public.PATTERN), trie_counts.count(docs, trie_counts.fit(docs, RANKS, public.PATTERN), public.PATTERN), dac.round_trip(spark, docs, public.path("word_bpe_49k.json")),
             pseudonyms.pseudonymised(docs, b"k"), spaced_seeds.judge(docs, benchmark),
         ]
         assert [r.count() for r in runs] == [n] * 10
@@ -352,19 +352,50 @@ def test_byte_bpe_of_long_words_equals_the_library(monkeypatch):
         codec.decode([np.array([2**31 - 1], "<u4").tobytes()])
 
 
-def test_trie_counts_equal_a_plain_segmentation():
-    costs = trie_counts.costs(byte_bpe.read_ranks(RANKS))
+def plain_segmentation(costs, word):
+    """Least cost, then fewest pieces, over all pieces that end at each place; the pieces themselves."""
+    longest, best = max(map(len, costs)), [(0, 0, 0)]
+    for i in range(1, len(word) + 1):
+        best.append(min((best[j][0] + costs[word[j:i]], best[j][1] + 1, -j) for j in range(max(0, i - longest), i) if word[j:i] in costs))
+    out, i = [], len(word)
+    while i:
+        out, i = [word[-best[i][2] : i], *out], -best[i][2]
+    return out
 
-    def plain(word):
-        best = [(0, 0)]
-        for i in range(1, len(word) + 1):
-            best.append(min((best[j][0] + costs[word[j:i]], best[j][1] + 1) for j in range(i) if word[j:i] in costs))
-        return best[-1][1]
 
-    words = ["", " the", " theory", " theoretical", "ingly", "漢字", "zzzqx", "a" * 70]
-    trie = trie_counts.Trie(costs)
-    assert [trie.insert(w.encode()) for w in words] == [plain(w.encode()) if w else 0 for w in words]
+def test_trie_counts_equal_a_plain_segmentation():
+    costs = trie_counts.first_costs(byte_bpe.read_ranks(RANKS))
+    pieces = trie_counts.Pieces(costs)
+    words = ["", " the", " theory", " theoretical", "ingly", "漢字", "zzzqx", "a" * 70, "x" * 400 + "theory" * 30]
+    trie = trie_counts.Trie(pieces)
+    for w in map(str.encode, words):
+        want = plain_segmentation(costs, w)
+        assert trie.insert(w) == pieces.long_count(w) == len(want) and pieces.segmented(w) == want
     assert len(trie.best) < sum(len(w.encode()) for w in words)  # prefixes are shared
+    # A very long word keeps only a few positions, and its count joins those of its halves.
+    word = "漢字かな交じりtheory".encode() * 20_000
+    assert abs(pieces.long_count(word) - 20_000 * (pieces.long_count(word[:2_700]) / 100)) < 300
+
+
+def test_token_counts_equal_a_plain_unigram(spark, odd):
+    """Fit and query columns against recounting without trie, sample hash or Spark."""
+    import regex
+
+    docs = odd.union(odd.sparkSession.createDataFrame([(50 + i, f"the cats theory number {i} and theoretical cats", None, None, 0, 0.0, None, None) for i in range(30)], odd.schema))
+    split = regex.compile(public.PATTERN)
+    rows = [(x.doc_id, x.text) for x in docs.collect()]
+    seen = Counter(w.encode() for _, t in rows if t for w in split.findall(t))
+    seen = {w: n for w, n in seen.items() if len(w) <= trie_counts.LONG}
+    costs = trie_counts.first_costs(byte_bpe.read_ranks(RANKS))
+    for _ in range(trie_counts.ROUNDS):
+        again = Counter(dict.fromkeys(costs, 1))
+        for w, n in seen.items():
+            again.update({p: n * k for p, k in Counter(plain_segmentation(costs, w)).items()})
+        costs = trie_counts.costs_of(again)
+    got = trie_counts.fit(docs, RANKS, public.PATTERN)
+    assert got == costs
+    want = Counter((d, len(split.findall(t or "")), sum(len(plain_segmentation(costs, w.encode())) for w in split.findall(t or "")), len((t or "").encode())) for d, t in rows)
+    assert Counter(tuple(x) for x in trie_counts.count(docs, got, public.PATTERN).collect()) == want
 
 
 def test_token_files(spark, odd, tmp_path):

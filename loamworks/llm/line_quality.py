@@ -5,12 +5,14 @@ white space and digits), hashed, and counted over the distinct documents of
 their host; a line in more than ``LINE_DOCUMENTS`` of them is removed, and a
 document that loses more than ``DEPLETED_PERCENT`` of its words is rejected.
 
-Documents of one text count once in a line's documents: a text that was copied
-as a whole is for deduplication to judge, not boilerplate.
+Frequent lines are few beside all lines: up to ``BROADCAST_LINES`` of them are
+broadcast to the lines, more are joined by shuffle, where adaptive execution
+splits a line of very many rows.
 
 Defined results: a null text has no words and fails the base rules; documents
 with a null host share one host; rows that repeat a doc_id are told apart by
-their text; other columns are ignored; an empty table gives an empty result.
+their text, and rows that repeat both count once; other columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import bound
+from .shared import landed
 
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -27,6 +30,8 @@ REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 LINE_DOCUMENTS = 10
 DEPLETED_PERCENT = 50
+#: Rows of two longs: 16 MB.
+BROADCAST_LINES = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -81,24 +86,31 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]+", "0"), SPACE, " "))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, host: str) -> DataFrame:
+    """``doc_id, text, host, digest``: null texts as empty, null hosts as one, hosts hashed."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    where = F.xxhash64(F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("")))
+    return docs.select("doc_id", text.alias("text"), where.alias("host")).withColumn("digest", F.xxhash64("text"))
+
+
+def lines_of(rows: DataFrame) -> DataFrame:
     """``doc_id, digest, host, line, words``: a row for each line with a word."""
-    each = docs.select("doc_id", "digest", "host", F.explode_outer(_lines(F.col("text"))).alias("raw")).filter("raw is not null")
+    each = rows.select("doc_id", "digest", "host", F.explode_outer(_lines(F.col("text"))).alias("raw")).filter("raw is not null")
     return each.select("doc_id", "digest", "host", F.xxhash64(normalised(F.col("raw"))).alias("line"), F.size(words_of(F.col("raw"))).cast("long").alias("words"))
 
 
 def frequent_lines(lines: DataFrame, limit: int = LINE_DOCUMENTS) -> DataFrame:
-    """``host, line`` of lines in more than ``limit`` distinct documents of the host."""
-    once = lines.select("host", "line", "digest").distinct()
-    return once.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > limit).select("host", "line")
+    """``host, line, common`` of lines in more than ``limit`` distinct documents of the host, for a left join."""
+    once = lines.select("host", "line", F.xxhash64("doc_id", "digest").alias("document")).distinct()
+    common = landed(once.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > limit).select("host", "line", F.lit(True).alias("common")), "lines")
+    return F.broadcast(common) if common.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else common
 
 
 def judge(docs: DataFrame, host: str = "source", limit: int = LINE_DOCUMENTS) -> DataFrame:
     """Base measures, words lost with frequent lines, and the verdict of every row."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("")).alias("host")).withColumn("digest", F.xxhash64("text"))
+    rows = _rows(docs, host)
     lines = lines_of(rows)
-    common = frequent_lines(lines, limit).withColumn("common", F.lit(True))
+    common = frequent_lines(lines, limit)
     # Shares, not sums: rows that repeat a document leave them as they are.
     lost = (
         lines.join(common, ["host", "line"], "left")
@@ -119,11 +131,19 @@ def judge(docs: DataFrame, host: str = "source", limit: int = LINE_DOCUMENTS) ->
 def cleaned(docs: DataFrame, host: str = "source", limit: int = LINE_DOCUMENTS) -> DataFrame:
     """``doc_id, text`` of the documents that are kept, without their frequent lines.
 
-    One host's frequent lines are looked up line by line; lines keep their order.
+    Lines keep their order.  Rows that repeat doc_id and text come once; a null
+    doc_id is carried; a document that loses all its lines is depleted, so it
+    isn't kept.
     """
-    free = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("")).alias("host")).withColumn("digest", F.xxhash64("text"))
-    common = frequent_lines(lines_of(free), limit).withColumn("common", F.lit(True))
-    each = free.select("doc_id", "digest", "host", F.posexplode(F.split("text", "\n")).alias("at", "raw")).withColumn("line", F.xxhash64(normalised(F.col("raw"))))
-    left = each.join(common, ["host", "line"], "left").filter("common is null").groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("at", "raw"))).alias("rows"))
-    texts = left.select("doc_id", F.array_join(F.transform("rows", lambda r: r["raw"]), "\n").alias("text"))
-    return texts.join(judge(docs, host, limit).filter("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    rows = _rows(docs, host).dropDuplicates(["doc_id", "digest", "host"])
+    common = frequent_lines(lines_of(rows), limit)
+    each = rows.select("doc_id", "digest", "host", F.posexplode(F.split("text", "\n")).alias("at", "raw")).withColumn("line", F.xxhash64(normalised(F.col("raw"))))
+    # One document's lines come together: never more than its text.
+    left = each.join(common, ["host", "line"], "left").groupBy("doc_id", "digest", "host").agg(
+        F.array_sort(F.collect_list(F.when(F.col("common").isNull(), F.struct("at", "raw")))).alias("rows"),
+        F.sum(F.size(words_of(F.col("raw")))).alias("all"), F.sum(F.when(F.col("common"), F.size(words_of(F.col("raw")))).otherwise(0)).alias("removed"),
+    )
+    whole = left.filter(100 * F.col("removed") <= DEPLETED_PERCENT * F.col("all")).select("doc_id", "digest", "host", F.array_join(F.transform("rows", lambda r: r["raw"]), "\n").alias("clean"))
+    judged = measures(rows).filter("not base_failed").select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), F.col("host").alias("h"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")) & (F.col("host") == F.col("h"))
+    return whole.join(judged, same, "left_semi").select("doc_id", F.col("clean").alias("text"))

@@ -41,7 +41,7 @@ line AS (
     SELECT doc_id, host, text, trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
         len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
     FROM each),
-common AS (SELECT host, line FROM line GROUP BY host, line HAVING count(DISTINCT text) > 10),
+common AS (SELECT host, line FROM line GROUP BY host, line HAVING count(DISTINCT doc_id) > 10),
 lost AS (
     SELECT doc_id, sum(words) AS n, sum(CASE WHEN c.line IS NOT NULL THEN words ELSE 0 END) AS removed
     FROM line l LEFT JOIN common c ON c.host = l.host AND c.line = l.line GROUP BY doc_id),

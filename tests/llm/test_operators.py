@@ -81,9 +81,29 @@ def test_line_limits(spark):
     assert texts[0] == own(0) and texts[30].startswith(shared) and 20 not in texts
 
 
-def test_copies_dont_make_lines_common(spark):
-    rows = [(i, "a page that was copied as a whole many times over and over", "h") for i in range(40)]
-    assert line_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).filter("kept").count() == 40
+def test_lines_count_distinct_documents(spark):
+    """Copies under many ids are many documents; a repeated row is one."""
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string")
+    line = "a page that was copied as a whole many times over and over"
+    assert line_quality.judge(frame([(i, line, "h") for i in range(40)])).filter("kept").count() == 0
+    assert line_quality.judge(frame([(1, line, "h")] * 40)).filter("kept").count() == 40
+    assert line_quality.judge(frame([(i, line, f"h{i % 4}") for i in range(40)])).filter("kept").count() == 40
+
+
+def test_line_quality_of_odd_rows(spark, monkeypatch):
+    """Nulls, empty and repeated rows have their stated values, whether frequent lines are broadcast or not."""
+    line, other = "this one line is on every page of the whole host", "quite different words that only this page has at all"
+    rows = [(i, f"{line}\n{other} {chr(97 + i) * 3}", None) for i in range(12)] + [(20, None, "s"), (21, "", "s"), (None, f"{line}\n\n{other} zzz", None), (22, "few words here", "s"), (3, f"{line}\n{other} ddd", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for limit in (1_000_000, 0):
+        monkeypatch.setattr(line_quality, "BROADCAST_LINES", limit)
+        got = Counter((x.doc_id, x.n_words, x.base_failed, x.kept, x.n_removed_words) for x in line_quality.judge(docs).collect())
+        n = len(line.split()) + len(other.split()) + 1
+        want = Counter({(i, n, False, True, 11): 1 for i in range(12)})
+        want.update([(20, 0, True, False, 0), (21, 0, True, False, 0), (22, 3, True, False, 0), (None, n, False, True, 11), (3, n, False, True, 11)])
+        assert got == want
+        clean = Counter((x.doc_id, x.text) for x in line_quality.cleaned(docs).collect())
+        assert clean == Counter([(i, f"{other} {chr(97 + i) * 3}") for i in range(12)] + [(None, f"\n{other} zzz")])
 
 
 BASE = [("assign", r"""(?a:(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)))""", 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24)]

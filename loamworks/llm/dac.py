@@ -9,7 +9,8 @@ is read with one lookup a level and without decoding a block.
 A segment file holds a run of documents in ascending ``doc_id`` order: magic,
 version, counts, the documents' offsets, then the levels.  Segments are written
 as the binary column of a Parquet dataset through Spark, because a file's path
-may be in a store that only Spark's writers and readers reach.
+may be in a store that only Spark's writers and readers reach; the column isn't
+compressed, so that a token's bytes lie as they are.  ``token`` reads one id.
 
 Defined results: a null text counts as empty (its one id is the end id); a null
 doc_id sorts first; repeated rows are kept, those with one doc_id in text
@@ -224,18 +225,22 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> None:
             yield close()
 
     ordered = docs.select("doc_id", F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(tidy(run), f"segment bigint, doc_ids array<{kind}>, n_ids bigint, data binary").write.mode("overwrite").parquet(out)
+    ordered.mapInArrow(tidy(run), f"segment bigint, doc_ids array<{kind}>, n_ids bigint, data binary").write.mode("overwrite").option("compression", "none").parquet(out)
 
 
 def read(spark: SparkSession, out: str) -> DataFrame:
     """Per document of the files: ``doc_id, start, n_tokens, ids_crc32``.
 
-    The running total is over one small row a segment, not over documents.
+    Running totals are over one small row a segment within a writing task, and
+    one a task above them, not over documents.
     """
     files = spark.read.parquet(out)
     kind = files.schema["doc_ids"].dataType.elementType.simpleString()
-    before = F.sum("n_ids").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
-    bases = files.select("segment", "n_ids").select("segment", F.coalesce(before, F.lit(0)).alias("base"))
+    earlier = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = files.select("segment", "n_ids", F.shiftright("segment", 32).alias("task"))
+    tasks = sizes.groupBy("task").agg(F.sum("n_ids").alias("n")).select("task", F.coalesce(F.sum("n").over(earlier(Window.orderBy("task"))), F.lit(0)).alias("below"))
+    own = sizes.select("segment", "task", F.coalesce(F.sum("n_ids").over(earlier(Window.partitionBy("task").orderBy("segment"))), F.lit(0)).alias("own"))
+    bases = own.join(tasks, "task").select("segment", (F.col("own") + F.col("below")).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,6 +260,18 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     return rows.join(bases, "segment").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def token(spark: SparkSession, out: str, doc_id: object, k: int) -> int | None:
+    """Id ``k`` of the first document with ``doc_id``, looked up in its segment alone; None where there is none."""
+    files = spark.read.parquet(out)
+    places = files.select("segment", F.array_position("doc_ids", doc_id).alias("at")).filter("at > 0").orderBy("segment").limit(1).collect()
+    if not places or k < 0:
+        return None
+    at = places[0].at - 1
+    segment = Segment(files.filter(F.col("segment") == places[0].segment).select("data").first().data)
+    start = int(segment.doc_ends[at - 1]) if at else 0
+    return int(segment[start + k]) if start + k < int(segment.doc_ends[at]) else None
+
+
 def round_trip(spark: SparkSession, docs: DataFrame, path: str, out: str | None = None) -> DataFrame:
     """Write the files (to a fresh shared folder unless ``out`` is given), then read them back."""
     out = out or f"{shared_dir(spark)}/dac-{uuid.uuid4().hex}"

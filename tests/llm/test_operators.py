@@ -247,6 +247,63 @@ def test_toxicity_held_out(spark):
     assert got.predicted[got.toxic == 0].mean() < 0.02 and got.predicted[got.toxic == 1].mean() > 0.65
 
 
+def test_features_equal_plain_arithmetic():
+    r, known, mask = random.Random(3), toxicity.Bounded(toxicity.word_hash), (1 << 64) - 1
+    a, b = int(toxicity._BIGRAM), int(toxicity._SKIP)
+    for _ in range(200):
+        text = " ".join(r.choice(["One", "two,", "(three)", "...", "é", "four-five", "!", "\tsix"]) for _ in range(r.randint(0, 12)))
+        h = [x for w in text.encode().lower().split() if (x := toxicity.word_hash(w))]
+        raw = h + [(x * a + y) & mask for x, y in zip(h, h[1:])] + [(x * b + y * a) & mask for x, y in zip(h, h[2:])]
+        assert toxicity.features(text.encode(), known).tolist() == sorted({((x ^ x >> 31) * a & mask) >> (64 - toxicity.BITS) for x in raw})
+
+
+def test_ftrl_equals_a_plain_twin(spark):
+    """The model and scores against per-coordinate FTRL-proximal written out, over features cut from words one by one."""
+    r = random.Random(5)
+    good, bad = [f"good{i}" for i in range(30)], [f"vile{i}" for i in range(8)]
+    rows = []
+    for i in range(120):
+        words = r.choices(good, k=r.randint(3, 20))
+        if i % 4 == 0:
+            words[r.randrange(len(words))] = r.choice(bad)
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    known = toxicity.Bounded(toxicity.word_hash)
+    learn = [(d, t, y) for d, t, y in rows if zlib.crc32(str(d).encode()) % 3 != 1]
+    order = sorted(learn, key=lambda x: (toxicity.xxhash.xxh64_intdigest(str(x[0])), toxicity.features(x[1].encode(), known).tobytes()))
+    sizes = [sum(y == k for _, _, y in learn) for k in (0, 1)]
+    times = [max(1, round(max(sizes) / n)) for n in sizes]
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        l1 = 0.0 if i == 1 << toxicity.BITS else toxicity.L1  # the bias has no penalty
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * l1) / ((toxicity.BETA + np.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for again in range(max(times)):
+            for _, t, y in order:
+                if again >= times[y]:
+                    continue
+                at = [*toxicity.features(t.encode(), known).tolist(), 1 << toxicity.BITS]
+                w = [weight(i) for i in at]
+                g = 1 / (1 + np.exp(-np.clip(sum(w), -35, 35))) - y
+                for i, x in zip(at, w):
+                    sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / toxicity.ALPHA
+                    z[i] += g - sigma * x
+                    n[i] += g * g
+    want = {i: weight(i) for i in z}
+    got = dict(zip(model.at.tolist(), model.weight.tolist()))
+    assert set(got) == {i for i, w in want.items() if w and i != 1 << toxicity.BITS}
+    assert all(abs(got[i] - want[i]) < 1e-5 for i in got) and abs(model.bias - want[1 << toxicity.BITS]) < 1e-5
+    for x in toxicity.score(docs, model).collect():
+        text = rows[x.doc_id][1]
+        logit = sum(want.get(i, 0.0) for i in toxicity.features(text.encode(), known).tolist()) + want[1 << toxicity.BITS]
+        assert abs(x.score - 1 / (1 + np.exp(-logit))) < 1e-4 and x.predicted == int(x.score >= 0.7)
+
+
 def slow_groups(rows):
     sets = {}
     for i, t in rows:
@@ -433,6 +490,8 @@ def test_token_files(spark, odd, tmp_path):
     data = spark.read.parquet(out).orderBy("segment").first().data
     segment = dac.Segment(data)
     assert [segment[i] for i in range(segment.n_ids)] == segment.ids().tolist()
+    ids = t.encode(TEXTS[5], add_special_tokens=False).ids + [1]
+    assert [dac.token(spark, out, 5, k) for k in range(-1, len(ids) + 1)] == [None, *ids, None] and dac.token(spark, out, 12_345, 0) is None
 
 
 def test_codes_of_any_size():

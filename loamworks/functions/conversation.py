@@ -112,11 +112,18 @@ def segments(messages: Column) -> Column:
 
 
 def completion_segments(messages: Column) -> Column:
-    """Pieces up to where the last assistant message starts."""
+    """Pieces up to where the last assistant message starts; to cut them to a length see :func:`completion_ids`."""
     dropped = F.when(F.get(messages, F.size(messages) - 1)["role"] == "assistant", F.slice(messages, 1, F.greatest(F.size(messages) - 1, F.lit(0)))).otherwise(messages)
     return F.array_append(segments(dropped), _piece(F.lit("<|assistant_start|>"), 0))
 
 
+def completion_ids(messages: Column, longest: int | None = 2048) -> Column:
+    """Byte-level ids and mask before an answer: cut to ``longest`` first, so that the start marker always comes last."""
+    dropped = F.when(F.get(messages, F.size(messages) - 1)["role"] == "assistant", F.slice(messages, 1, F.greatest(F.size(messages) - 1, F.lit(0)))).otherwise(messages)
+    marker = F.struct(F.lit(256 + SPECIALS.index("<|assistant_start|>")).alias("id"), F.lit(0).alias("mask"))
+    return F.array_append(byte_ids(segments(dropped), longest), marker)
+
+
 def byte_ids(pieces: Column, longest: int | None = 2048) -> Column:
     """Byte-level ids and mask of pieces: bytes are 0 to 255, specials follow.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import bound
+
 # Ligatures and the long s with their plain letters.
 LIGATURES = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ſ": "s"}
 SHORTEST, FEWEST_WORDS, LEAST_UNIQUE = 1000, 200, 0.15
@@ -41,14 +43,11 @@ def clean_ocr(text: Column) -> Column:
     cleaned = without_garbled_lines(squeezed_newlines(plain_ligatures(text)))
     cleaned = F.when(F.length(text) >= SHORTEST, strip(cleaned))
 
-    def verdict(t: Column) -> Column:
-        w = words(t)
-        enough = F.size(w) >= FEWEST_WORDS
-        varied = F.try_divide(F.size(F.array_distinct(w)), F.size(w)) >= LEAST_UNIQUE
-        return F.when((F.length(t) >= SHORTEST) & enough & varied, t)
+    def fine(w: Column) -> Column:
+        return (F.size(w) >= FEWEST_WORDS) & (F.try_divide(F.size(F.array_distinct(w)), F.size(w)) >= LEAST_UNIQUE)
 
-    # Bound by a lambda, so the cleaned text is computed once.
-    return F.get(F.transform(F.array(cleaned), verdict), F.lit(0))
+    # Both the cleaned text and its words are computed once.
+    return bound(cleaned, lambda t: F.when((F.length(t) >= SHORTEST) & bound(words(t), fine), t))
 
 
 def parse_year(value: Column) -> Column:
@@ -102,9 +101,12 @@ def late_hints(text: Column, keywords: list[str] = LATE_KEYWORDS, whole_words: b
     """
     prose = without_code(text)
     lower = F.lower(prose)
+    if whole_words:
+        hit = lower.rlike(r"\b(?:" + "|".join(r"\Q" + k.lower() + r"\E" for k in keywords) + r")\b") if keywords else F.lit(False)
+        return prose.rlike(LATE_YEAR) | hit
     hit = F.lit(False)
     for k in keywords:
-        hit = hit | (lower.rlike(r"\b\Q" + k.lower() + r"\E\b") if whole_words else F.contains(lower, F.lit(k.lower())))
+        hit = hit | F.contains(lower, F.lit(k.lower()))
     return prose.rlike(LATE_YEAR) | hit
 
 

@@ -6,10 +6,16 @@ import heapq
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import landed
+
+#: Distinct words of the merge loop: some 10 GB on the driver.
+MOST_WORDS = 20_000_000
+
 # Fixed value: the split pattern of texts into words to be merged.
 SPLIT = r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,2}| ?[^\s\p{L}\p{N}]++[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"""
 
@@ -79,13 +85,16 @@ def learn_merges(counts: Mapping[bytes, int] | Iterable[tuple[bytes, int]], n_me
 def train(docs: DataFrame, vocab_size: int, specials: Iterable[str] = (), text: str = "text", least: int = 1) -> dict[bytes, int]:
     """Ranks of a vocabulary of ``vocab_size`` with room for ``specials``.
 
-    Counting is distributed; the merge loop works on distinct words seen at
-    least ``least`` times, so raise ``least`` with the corpus.
+    Counting is distributed; the merge loop works on the driver, on distinct
+    words seen at least ``least`` times, of which there may be ``MOST_WORDS``.
     """
     n_merges = vocab_size - 256 - len(list(specials))
     if n_merges < 0:
         raise ValueError("a vocabulary needs 256 bytes and its special tokens")
-    rows = word_counts(docs, text).filter(F.col("n") >= least).orderBy("word").toLocalIterator()
+    counts = landed(word_counts(docs, text).filter(F.col("n") >= least), "words")
+    if (n := counts.count()) > MOST_WORDS:
+        raise ValueError(f"{n} distinct words are more than the driver takes; raise least")
+    rows = counts.orderBy("word").toLocalIterator()
     merges = learn_merges([(r["word"].encode(), r["n"]) for r in rows], n_merges)
     ranks = {bytes([i]): i for i in range(256)}
     for left, right in merges:
@@ -116,12 +125,32 @@ def encoded(docs: DataFrame, ranks: Mapping[bytes, int], text: str = "text", pat
     return docs.withColumn("ids", encode(F.col(text)))
 
 
+def byte_ids(text: Column, *before: int) -> Column:
+    """The bytes of a text as ids after the given ones; of a null text these alone."""
+    head = np.array(before, dtype=np.int32)
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: np.append(head, np.frombuffer((t or "").encode(), dtype=np.uint8)).astype(np.int32))
+
+    return ids(text)
+
+
 def decoded(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key, text`` of id arrays, by joining positions with the vocabulary; special tokens are left out."""
-    at = docs.select(key, F.posexplode_outer(ids).alias("pos", "token_id"))
-    pieces = at.join(F.broadcast(vocab.select("token_id", F.hex("bytes").alias("h"), "is_special")), "token_id", "left")
-    grouped = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("h").isNotNull() & ~F.col("is_special"), F.struct("pos", "h")))).alias("rows"))
-    return grouped.select(key, F.decode(F.unhex(F.array_join(F.transform("rows", lambda r: r["h"]), "")), "utf-8").alias("text"))
+    """``key, text`` of id arrays, by Arrow batches and without a shuffle; special and unknown tokens are left out.
+
+    Bytes that are no UTF-8 become U+FFFD.  The vocabulary is read on the driver, as it is bounded.
+    """
+    rows = vocab.filter(~F.col("is_special")).select("token_id", "bytes").collect()
+    shared = docs.sparkSession.sparkContext.broadcast({r["token_id"]: bytes(r["bytes"]) for r in rows})
+
+    @F.pandas_udf("string")
+    def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        piece = shared.value.get
+        for part in parts:
+            yield part.map(lambda x: "" if x is None else b"".join([piece(i, b"") for i in x]).decode("utf-8", "replace"))
+
+    return docs.select(key, text(F.col(ids)).alias("text"))
 
 
 def compression(docs: DataFrame, by: str, ids: str = "ids", text: str = "text") -> DataFrame:

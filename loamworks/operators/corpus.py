@@ -25,13 +25,13 @@ def unknown_streams(mix: Mapping[str, float], known: Mapping) -> list[str]:
     return sorted(set(mix) - set(known))
 
 
-def round_robin(docs: DataFrame, weights: Mapping[str, float], stream: str = "source", key: str = "doc_id", default: float | None = None) -> DataFrame:
+def round_robin(docs: DataFrame, weights: Mapping[str, float], stream: str = "source", key: str = "doc_id", default: float | None = 1e-9) -> DataFrame:
     """Interleave streams by weight: adds ``pos``, a document's place in the mix.
 
     The stream with the least count / weight goes next, ties by the order of
     ``weights``, which is a sort by (place in stream / weight, stream order).
-    Streams without a weight are left out unless ``default`` is given.  ``key``
-    is unique in its stream.  Places are found on a written table of keys, so
+    Streams without a weight weigh ``default``, so they come when the others are
+    over; with None they are left out.  ``key`` is unique in its stream.  Places are found on a written table of keys, so
     texts move once, when they are joined with their places.
     """
     pairs = [x for i, (name, w) in enumerate(weights.items()) for x in (F.lit(name), F.struct(F.lit(float(max(w, 1e-9))).alias("w"), F.lit(i).alias("k")))]
@@ -82,16 +82,17 @@ def _fold(limit: int, target: int | None, tail: bool, size: int) -> Callable:
     return run
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_CHARS, target: int | None = None, tail: bool = True, pos: str = "pos", text: str = "text", block: int = BLOCK) -> DataFrame:
+def assign_shards(docs: DataFrame, limit: int = SHARD_CHARS, target: int | None = None, tail: bool = True, pos: str = "pos", text: str = "text", block: int = BLOCK, chars: str | None = None) -> DataFrame:
     """Add ``shard`` to documents that carry their place ``pos``.
 
     Shards close only at the ends of blocks of ``block`` documents.  With
     ``target``, nothing follows the shard that reaches so many characters.
-    ``tail`` keeps the last shard that isn't full.  The fold streams over one
+    ``chars`` names a column of lengths, where texts needn't be read.  ``tail``
+    keeps the last shard that isn't full.  The fold streams over one
     small row a block in a single task with constant memory.
     """
     blocks = docs.withColumn("block", F.floor(F.col(pos) / block).cast("long"))
-    sums = blocks.groupBy("block").agg(F.count("*").alias("docs"), F.sum(F.length(text)).alias("chars"))
+    sums = blocks.groupBy("block").agg(F.count("*").alias("docs"), F.sum(F.col(chars) if chars else F.length(text)).alias("chars"))
     folded = sums.coalesce(1).sortWithinPartitions("block").mapInPandas(_fold(limit, target, tail, block), "block long, shard long")
     return blocks.join(folded, "block").drop("block")
 
@@ -123,6 +124,7 @@ def build_corpus(sources: Mapping[str, DataFrame], mix: Mapping[str, float], out
     for more in parts[1:]:
         docs = docs.unionByName(more)
     spark = docs.sparkSession
+    docs = landed(docs, "corpus")  # cleaned once, though read for keys, lengths and texts
     write_shards(assign_shards(round_robin(docs, mix), limit, target_tokens * chars_a_token), out, next_shard(spark, out))
 
 

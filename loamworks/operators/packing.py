@@ -43,8 +43,9 @@ class Buffer:
 
 
 def pack(rows: Iterator[tuple], capacity: int, buffer_size: int, refill: int, crop: bool, pad: int, drain: bool = True) -> Iterator[tuple]:
-    """Packed rows from ``(ids, mask, name)``: ``ids, mask, content length, names``.
+    """Packed rows from ``(ids, mask, name)``: ``ids, mask, content length, names, sizes``.
 
+    ``sizes`` says how many ids of each name the row took.
     ``crop`` fills the rest of a row with the head of the shortest waiting
     sequence and drops its tail; else the rest is padding, and sequences longer
     than a row are cut to it, since they would wait for ever.  The buffer is
@@ -65,7 +66,7 @@ def pack(rows: Iterator[tuple], capacity: int, buffer_size: int, refill: int, cr
                     waiting.add(row if crop else (row[0][:capacity], row[1][:capacity], row[2]))
 
     while True:
-        ids, mask, names, content = [], [], [], 0
+        ids, mask, names, sizes, content = [], [], [], [], 0
         while len(ids) < capacity:
             fill()
             if not len(waiting) or (not open_ and not drain):
@@ -76,13 +77,14 @@ def pack(rows: Iterator[tuple], capacity: int, buffer_size: int, refill: int, cr
                 if not crop:
                     break
                 row = waiting.shortest()
+            sizes.append(min(room, len(row[0])))
             ids += list(row[0][:room])
             mask += list(row[1][:room])
             names.append(row[2])
         if not ids or (crop and len(ids) < capacity):
             return
         content = len(ids)
-        yield ids + [pad] * (capacity - content), mask + [0] * (capacity - content), content, names
+        yield ids + [pad] * (capacity - content), mask + [0] * (capacity - content), content, names, sizes
 
 
 def packed(docs: DataFrame, length: int, by: str = "rank", order: str = "doc_id", crop: bool = True, pad: int = 0, buffer_size: int = 1000, refill: int = 128) -> DataFrame:
@@ -110,16 +112,16 @@ def packed(docs: DataFrame, length: int, by: str = "rank", order: str = "doc_id"
         while ahead is not None:
             current[0] = ahead[0]
             out = []
-            for n, (ids, mask, content, names) in enumerate(pack(of_rank(), length + 1, buffer_size, refill, crop, pad)):
+            for n, (ids, mask, content, names, sizes) in enumerate(pack(of_rank(), length + 1, buffer_size, refill, crop, pad)):
                 targets = [t if m and i + 1 < content else IGNORE for i, (t, m) in enumerate(zip(ids[1:], mask[1:], strict=True))]
-                out.append((current[0], n, ids[:-1], targets, content, names))
+                out.append((current[0], n, ids[:-1], targets, content, names, sizes))
                 if len(out) == 64:
-                    yield pd.DataFrame(out, columns=["rank", "row", "inputs", "targets", "content", "names"])
+                    yield pd.DataFrame(out, columns=["rank", "row", "inputs", "targets", "content", "names", "sizes"])
                     out = []
-            yield pd.DataFrame(out, columns=["rank", "row", "inputs", "targets", "content", "names"])
+            yield pd.DataFrame(out, columns=["rank", "row", "inputs", "targets", "content", "names", "sizes"])
 
     ordered = docs.select(F.col(by).cast("long").alias(by), "ids", "mask", order).repartition(by).sortWithinPartitions(by, order)
-    return ordered.mapInPandas(run, f"rank long, row long, inputs array<int>, targets array<int>, content int, names array<{kind}>")
+    return ordered.mapInPandas(run, f"rank long, row long, inputs array<int>, targets array<int>, content int, names array<{kind}>, sizes array<int>")
 
 
 def shifted(ids: Column) -> tuple[Column, Column]:

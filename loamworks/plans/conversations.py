@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import conversation as V
 from ..functions import text as T
+from ..functions.conversation import SPECIALS
 from ..registry import query
 from .corpus import docs
 
@@ -73,6 +74,16 @@ def render_byte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("conv_id", F.size("ids").alias("n_ids"), F.aggregate("ids", F.lit(0), lambda a, x: a + x["mask"]).alias("n_trained"))
 
 
+@query("completion_ids", f"""WITH {M}, d AS (SELECT conv_id, CASE WHEN m[len(m)].role = 'assistant' THEN m[1:len(m) - 1] ELSE m END AS m FROM m), {MERGED.replace("FROM m)", "FROM d)")},
+    p AS (SELECT conv_id, {PIECES.replace('M,', 'm,', 1)} AS p FROM g),
+    h AS (SELECT conv_id, array_to_string(list_transform(p, lambda x: CASE WHEN list_contains([{", ".join(f"'{s}'" for s in SPECIALS)}], x.text) THEN printf('%04X', 255 + list_position([{", ".join(f"'{s}'" for s in SPECIALS)}], x.text)) ELSE regexp_replace(hex(encode(x.text)), '(..)', '00\\1', 'g') END), '') AS h FROM p)
+    SELECT conv_id, md5(substr(h, 1, 4 * 150) || '{256 + SPECIALS.index("<|assistant_start|>"):04X}') AS digest, least(length(h) // 4, 150)::INTEGER + 1 AS n FROM h""")
+def completion_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids before an answer, cut to 150, and then the marker."""
+    ids = chats(spark, sf_dir).select("conv_id", V.completion_ids(F.col("messages"), 150).alias("ids"))
+    return ids.select("conv_id", F.md5(F.array_join(F.transform("ids", lambda x: F.lpad(F.hex(x["id"]), 4, "0")), "")).alias("digest"), F.size("ids").alias("n"))
+
+
 @query("chat_request_errors", f"""WITH {M} SELECT conv_id, CASE WHEN len(m) = 0 THEN 'empty' WHEN len(m) > 6 THEN 'too_many_messages' WHEN len(list_filter(m, lambda x: x.content = '')) > 0 THEN 'empty_message'
     WHEN len(list_filter(m, lambda x: length(x.content) > 200)) > 0 THEN 'message_too_long' WHEN list_sum(list_transform(m, lambda x: length(x.content))) > 500 THEN 'conversation_too_long'
     WHEN len(list_filter(m, lambda x: x.role NOT IN ('user', 'assistant'))) > 0 THEN 'bad_role' END AS error FROM m""")

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import ordering
 from ..registry import query
+from ..storage import landed
 
 
 def docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -27,7 +28,14 @@ clean AS (SELECT doc_id, source, t AS text FROM counted WHERE length(t) >= 1000
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", "source", T.clean_ocr(F.col("text")).alias("text")).filter("text is not null")
+    """Cleaned documents; the outer explode keeps the filter from cleaning again."""
+    return docs(spark, sf_dir).select("doc_id", "source", F.explode_outer(F.array(T.clean_ocr(F.col("text")))).alias("text")).filter("text is not null")
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and lengths of the mix; texts are cleaned once, for a written table."""
+    sizes = landed(clean(spark, sf_dir).select("doc_id", "source", F.length("text").alias("chars")), "clean")
+    return C.round_robin(sizes, WEIGHTS)
 
 
 @query("clean_documents", "WITH" + CLEAN + " SELECT doc_id, length(text) AS n_chars, md5(text) AS digest FROM clean")
@@ -39,14 +47,14 @@ WEIGHTS = {"src0": 0.55, "src1": 0.10, "src2": 0.05, "src3": 0.30}
 MIXED = r"""
 weights(source, w, k) AS (VALUES ('src0', 0.55::DOUBLE, 0), ('src1', 0.10::DOUBLE, 1), ('src2', 0.05::DOUBLE, 2), ('src3', 0.30::DOUBLE, 3)),
 turns AS (
-    SELECT d.doc_id, d.source, d.text, w.k, (row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1) / w.w AS turn
-    FROM clean d JOIN weights w USING (source)),
-mixed AS (SELECT doc_id, source, text, row_number() OVER (ORDER BY turn, k) - 1 AS pos FROM turns)"""
+    SELECT d.doc_id, d.source, d.text, coalesce(w.k, 4) AS k, (row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id) - 1) / coalesce(w.w, 1e-9::DOUBLE) AS turn
+    FROM clean d LEFT JOIN weights w USING (source)),
+mixed AS (SELECT doc_id, source, text, row_number() OVER (ORDER BY turn, k, source) - 1 AS pos FROM turns)"""
 
 
 @query("weighted_round_robin", "WITH" + CLEAN + "," + MIXED + " SELECT pos, doc_id, source FROM mixed")
 def weighted_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.round_robin(clean(spark, sf_dir), WEIGHTS).select("pos", "doc_id", "source")
+    return mixed(spark, sf_dir).select("pos", "doc_id", "source")
 
 
 SHARDED = r"""
@@ -61,8 +69,7 @@ sharded AS (SELECT m.*, f.shard FROM mixed m JOIN fold f ON f.block = m.pos // 8
 
 @query("shard_assignment", "WITH RECURSIVE" + CLEAN + "," + MIXED + "," + SHARDED + " SELECT shard, count(*) AS docs, sum(length(text))::BIGINT AS chars, min(pos) AS first_pos, max(pos) AS last_pos FROM sharded GROUP BY shard")
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = C.round_robin(clean(spark, sf_dir), WEIGHTS)
-    return C.assign_shards(mixed, 40_000, block=8).groupBy("shard").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    return C.assign_shards(mixed(spark, sf_dir), 40_000, block=8, chars="chars").groupBy("shard").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
 @query(
@@ -74,8 +81,8 @@ def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def shard_assignment_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stops at 100,000 characters and drops the shard that isn't full."""
-    mixed = C.round_robin(clean(spark, sf_dir), WEIGHTS)
-    return C.assign_shards(mixed, 40_000, target=100_000, tail=False, block=8).groupBy("shard").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"))
+    sharded = C.assign_shards(mixed(spark, sf_dir), 40_000, target=100_000, tail=False, block=8, chars="chars")
+    return sharded.groupBy("shard").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"))
 
 
 @query(
@@ -84,13 +91,13 @@ def shard_assignment_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """, kept AS (SELECT source, count(*) AS docs, sum(length(text))::BIGINT AS chars, count(DISTINCT shard) AS shards FROM sharded GROUP BY source),
     seen AS (SELECT source, count(*) AS read FROM documents GROUP BY source)
     SELECT source, read, coalesce(docs, 0) AS docs, coalesce(chars, 0)::BIGINT AS chars, coalesce(shards, 0) AS shards, read - coalesce(docs, 0) AS rejected
-    FROM seen JOIN weights USING (source) LEFT JOIN kept USING (source)""",
+    FROM seen LEFT JOIN kept USING (source)""",
 )
 def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, mix by weight, assign shards; documents, characters and rejects by source."""
-    seen = docs(spark, sf_dir).filter(F.col("source").isin(*WEIGHTS)).groupBy("source").agg(F.count("*").alias("read"))
-    sharded = C.assign_shards(C.round_robin(clean(spark, sf_dir), WEIGHTS), 40_000, block=8)
-    kept = sharded.groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"), F.countDistinct("shard").alias("shards"))
+    seen = docs(spark, sf_dir).groupBy("source").agg(F.count("*").alias("read"))
+    sharded = C.assign_shards(mixed(spark, sf_dir), 40_000, block=8, chars="chars")
+    kept = sharded.groupBy("source").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"), F.countDistinct("shard").alias("shards"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return seen.join(kept, "source", "left").select("source", "read", zero("docs"), zero("chars"), zero("shards"), (F.col("read") - F.coalesce("docs", F.lit(0))).alias("rejected"))
 
@@ -147,7 +154,10 @@ def late_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", T.late_hints(F.col("text")).alias("hit"))
 
 
-@query("late_hints_whole_words", None)
+@query("late_hints_whole_words", """
+WITH p AS (SELECT doc_id, regexp_replace(regexp_replace(text, '(?s)```.*?```', ' ', 'g'), '`[^`]*`', ' ', 'g') AS t FROM documents)
+SELECT doc_id, regexp_matches(t, '\\b(?:198[5-9]|199[0-9]|20[0-9]{2}|21[0-9]{2})\\b') OR regexp_matches(lower(t), '\\b(?:KEYS)\\b') AS hit FROM p
+""".replace("KEYS", "|".join(k.lower().replace(".", "[.]") for k in T.LATE_KEYWORDS)).replace("\\\\", "\\"))
 def late_hints_whole_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", T.late_hints(F.col("text"), whole_words=True).alias("hit"))
 

@@ -55,14 +55,14 @@ def chat_core_if_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("bits_per_byte", """
-WITH t AS (SELECT doc_id, source, unnest(list_transform(range(1, 1 + least(length(text), 50)), lambda i: ascii(text[i]))) AS id FROM documents),
+WITH t AS (SELECT doc_id, source, ascii(unnest(string_split(text, ''))) AS id FROM documents),
 l AS (SELECT source, CASE WHEN id % 7 = 0 THEN -1 ELSE id END AS id, 0.5 + (id % 13) / 10.0 AS nats FROM t),
 b AS (SELECT source, CASE WHEN id < 0 OR id = 32 THEN 0 WHEN id > 127 THEN 2 ELSE 1 END AS n, nats FROM l)
 SELECT source, sum(n)::BIGINT AS bytes, round(sum(CASE WHEN n > 0 THEN nats ELSE 0 END) / (ln(2) * sum(n)), 9) AS bpb FROM b GROUP BY source""")
 def bits_per_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Losses of targets joined with their byte lengths; ignored and special targets have none."""
-    ids = F.transform(F.sequence(F.lit(1), F.least(F.length("text"), F.lit(50))), lambda i: F.ascii(F.substring(F.col("text"), i, F.lit(1))))
-    t = docs(spark, sf_dir).select("source", F.explode(ids).alias("id")).withColumn("nats", 0.5 + F.pmod("id", F.lit(13)) / 10.0).withColumn("id", F.when(F.col("id") % 7 == 0, -1).otherwise(F.col("id")))
+    chars = docs(spark, sf_dir).select("source", F.explode_outer(F.split("text", "")).alias("c")).filter("c <> ''")
+    t = chars.select("source", F.ascii("c").alias("id")).withColumn("nats", 0.5 + F.pmod("id", F.lit(13)) / 10.0).withColumn("id", F.when(F.col("id") % 7 == 0, -1).otherwise(F.col("id")))
     n = F.when((F.col("id") < 0) | (F.col("id") == 32), 0).when(F.col("id") > 127, 2).otherwise(1)
     return t.withColumn("n", n).groupBy("source").agg(F.sum("n").alias("bytes"), F.round(X.bits_per_byte("nats", "n"), 9).alias("bpb"))
 
@@ -108,14 +108,14 @@ def all_tokens_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("common_lengths", """
-WITH s AS (SELECT lang, string_split(substr(text, 1, 30), ' ') AS x FROM documents WHERE doc_id % 10 = 0),
-p AS (SELECT lang, x, unnest(range(1, len(x) + 1)) AS i FROM s),
-d AS (SELECT lang, min(i) - 1 AS first FROM (SELECT lang, i FROM p GROUP BY lang, i HAVING min(x[i]) <> max(x[i])) GROUP BY lang),
+WITH s AS (SELECT lang, string_split(text, ' ') AS x FROM documents),
+p AS (SELECT lang, unnest(x) AS w, unnest(range(1, len(x) + 1)) AS i FROM s),
+d AS (SELECT lang, min(i) - 1 AS first FROM (SELECT lang, i FROM p GROUP BY lang, i HAVING min(w) <> max(w)) GROUP BY lang),
 n AS (SELECT lang, min(len(x)) AS least FROM s GROUP BY lang)
 SELECT lang, least(least, coalesce(first, least))::INTEGER AS n FROM n LEFT JOIN d USING (lang)""")
 def common_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many leading ids the members of a group share."""
-    s = docs(spark, sf_dir).filter("doc_id % 10 = 0").select("lang", F.split(F.substring("text", 1, 30), " ").alias("x"))
+    s = docs(spark, sf_dir).select("lang", F.split("text", " ").alias("x"))
     return X.common_length(s, "lang", "x").select("lang", F.col("n").cast("int").alias("n"))
 
 
@@ -242,11 +242,11 @@ def tokens_per_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sweep(spark).select("c", "x", F.round(F.col("c") / (6 * n), 0).alias("tokens"), F.round(F.col("c") / (6 * n) / n, 6).alias("ratio"))
 
 
-@query("families_by_size", "SELECT s_name AS model, s_acctbal AS score, 'measured' AS kind FROM supplier WHERE s_suppkey <= 10 UNION ALL SELECT c_name, c_acctbal, 'estimated' FROM customer WHERE c_custkey <= 10")
+@query("families_by_size", "SELECT s_name AS model, s_acctbal AS score, 'measured' AS kind FROM supplier UNION ALL SELECT c_name, c_acctbal, 'estimated' FROM customer")
 def families_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two families of one schema in one table, in the order of their score."""
-    a = docs(spark, sf_dir, "supplier").filter("s_suppkey <= 10").select(F.col("s_name").alias("model"), F.col("s_acctbal").alias("score"), F.lit("measured").alias("kind"))
-    b = docs(spark, sf_dir, "customer").filter("c_custkey <= 10").select(F.col("c_name").alias("model"), F.col("c_acctbal").alias("score"), F.lit("estimated").alias("kind"))
+    a = docs(spark, sf_dir, "supplier").select(F.col("s_name").alias("model"), F.col("s_acctbal").alias("score"), F.lit("measured").alias("kind"))
+    b = docs(spark, sf_dir, "customer").select(F.col("c_name").alias("model"), F.col("c_acctbal").alias("score"), F.lit("estimated").alias("kind"))
     return a.unionByName(b).orderBy("score")
 
 

@@ -39,11 +39,12 @@ ARTICLES = [
     (2, "<PubmedArticle><PubDate><MedlineDate>1984 Dec-1985 Jan</MedlineDate></PubDate><ArticleTitle>A title that alone is long enough to be kept as a text</ArticleTitle>"),
     (3, "<PubmedArticle><PubDate><Year>1984</Year></PubDate><ArticleTitle>Short</ArticleTitle>"),
     (4, "<PubmedArticle><PubDate><Year>1990</Year></PubDate><ArticleTitle>A title that alone is long enough to be kept as a text</ArticleTitle>"),
+    (6, "<PubmedArticle><PubDate><Year>1984</Year></PubDate><ArticleTitle>Caf&#233; <![CDATA[a<b & c]]> &#x3b1;&amp;#1; <!-- no --> study of the whole of it and more</ArticleTitle>"),
     (5, "<PubmedArticle><PubDate></PubDate><ArticleTitle>A title that alone is long enough to be kept as a text</ArticleTitle>"),
 ]
 
 
-@query("bibliographic_texts", """SELECT * FROM (VALUES (1970, 'On quartz & more' || chr(10) || chr(10) || 'AIM: To see q it r.' || chr(10) || 'It was seen in all of the trials.'), (1984, 'A title that alone is long enough to be kept as a text')) t(year, text)""")
+@query("bibliographic_texts", """SELECT * FROM (VALUES (1970, 'On quartz & more' || chr(10) || chr(10) || 'AIM: To see q it r.' || chr(10) || 'It was seen in all of the trials.'), (1984, 'A title that alone is long enough to be kept as a text'), (1984, 'Café a<b & c α&#1;  study of the whole of it and more')) t(year, text)""")
 def bibliographic_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.createDataFrame(ARTICLES, "id int, xml string").select(*bibliography.records(F.col("xml")))
     return bibliography.texts(rows)
@@ -56,10 +57,11 @@ LINES = [
     (4, '[{"role": "assistant", "content": "hi"}]'),
     (5, "not json"),
     (6, '[{"role": "system", "content": "s"}, {"role": "user", "content": "u"}, {"role": "assistant", "content": "a"}]'),
+    (7, '[{"role": "user", "content": "u"}, {"role": "assistant", "content": "[{\\"type\\": \\"x\\", \\"text\\": \\"literal\\"}]"}]'),
 ]
 
 
-@query("json_conversations", "SELECT * FROM (VALUES (2, 2, NULL, true), (3, 2, 'a1+1', true), (4, 1, NULL, false), (6, 3, NULL, true)) t(id, n, parts, valid)")
+@query("json_conversations", "SELECT * FROM (VALUES (2, 2, NULL, true), (3, 2, 'a1+1', true), (4, 1, NULL, false), (6, 3, NULL, true), (7, 2, NULL, true)) t(id, n, parts, valid)")
 def json_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as conversations, contents as strings or parts, and whether roles alternate."""
     rows = spark.createDataFrame(LINES, "id int, value string")

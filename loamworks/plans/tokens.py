@@ -22,9 +22,9 @@ def tame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"(?U)\s+", " "))
 
 
-@query("pretoken_counts", f"WITH {WORDS} SELECT word, count(*) AS n FROM w GROUP BY word HAVING count(*) >= 20")
+@query("pretoken_counts", f"WITH {WORDS} SELECT word, count(*) AS n FROM w GROUP BY word")
 def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.word_counts(tame(spark, sf_dir)).filter("n >= 20")
+    return bpe.word_counts(tame(spark, sf_dir))
 
 
 @query("pretokens_lossless", "SELECT doc_id, md5(text) AS digest FROM documents")
@@ -47,14 +47,14 @@ def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("trained_vocabulary")
 def trained_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.train(_sample(spark, sf_dir), 600, SPECIALS, least=3)
+    ranks = bpe.train(_sample(spark, sf_dir), 600, SPECIALS)
     return bpe.vocabulary(spark, ranks, SPECIALS).select("token_id", F.hex("bytes").alias("hex"), "is_special", "n_bytes")
 
 
 @query("encode_decode_round_trip", "SELECT doc_id, md5(text) AS digest FROM documents")
 def encode_decode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode with a vocabulary trained here, decode by joins: the texts again."""
-    ranks = bpe.train(_sample(spark, sf_dir), 400, SPECIALS, least=5)
+    ranks = bpe.train(_sample(spark, sf_dir), 400, SPECIALS)
     back = bpe.decoded(bpe.encoded(_sample(spark, sf_dir), ranks), bpe.vocabulary(spark, ranks, SPECIALS))
     return back.select("doc_id", F.md5("text").alias("digest"))
 
@@ -78,16 +78,16 @@ def byte_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tokenizer_comparison")
 def tokenizer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small and a larger vocabulary by language: tokens, relative difference, winner."""
-    base, ours = (bpe.compression(bpe.encoded(_sample(spark, sf_dir), bpe.train(_sample(spark, sf_dir), n, least=5)), "lang") for n in (300, 500))
+    ranks = bpe.train(_sample(spark, sf_dir), 500)
+    # The smaller vocabulary is the larger one's start: merges are learned in order.
+    base, ours = (bpe.compression(bpe.encoded(_sample(spark, sf_dir), {p: r for p, r in ranks.items() if r < n}), "lang") for n in (300, 500))
     both = base.select("lang", F.col("n_tokens").alias("base")).join(ours.select("lang", "n_tokens"), "lang")
     return both.select("lang", "base", "n_tokens", F.round((F.col("base") - F.col("n_tokens")) / F.col("base") * 100, 6).alias("fewer_percent"), F.when(F.col("n_tokens") < F.col("base"), "ours").otherwise("base").alias("winner"))
 
 
 def _byte_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as byte ids after a start token, dealt to four ranks."""
-    hexed = F.hex(F.encode(F.substring("text", 1, 200), "utf-8"))
-    ids = F.transform(F.sequence(F.lit(0), F.floor(F.length(hexed) / 2).cast("int") - 1), lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
-    return docs(spark, sf_dir).select("doc_id", F.pmod("doc_id", F.lit(4)).alias("rank"), F.concat(F.array(F.lit(256)), ids).alias("ids"))
+    return docs(spark, sf_dir).select("doc_id", F.pmod("doc_id", F.lit(4)).alias("rank"), bpe.byte_ids(F.col("text"), 256).alias("ids"))
 
 
 @query("best_fit_crop")
@@ -95,26 +95,24 @@ def best_fit_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_byte_docs(spark, sf_dir), 256, buffer_size=50, refill=16).select("rank", "row", "content", F.md5(F.to_json("inputs")).alias("digest"), "names")
 
 
-@query("best_fit_pad", "SELECT doc_id AS name, least(1 + strlen(substr(text, 1, 200)), 257)::INTEGER AS n FROM documents")
+@query("best_fit_pad", "SELECT doc_id AS name, least(1 + strlen(text), 257)::INTEGER AS n FROM documents")
 def best_fit_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packing with padding places every document once, whole up to the row's length."""
     rows = packing.packed(_byte_docs(spark, sf_dir), 256, crop=False, pad=256, buffer_size=50, refill=16)
-    placed = rows.select(F.explode("names").alias("name"))
-    sizes = _byte_docs(spark, sf_dir).select(F.col("doc_id").alias("name"), F.least(F.size("ids"), F.lit(257)).alias("n"))
-    return placed.join(sizes, "name")
+    return rows.select(F.explode(F.arrays_zip("names", "sizes")).alias("x")).select(F.col("x.names").alias("name"), F.col("x.sizes").alias("n"))
 
 
-@query("packed_totals", "SELECT doc_id % 4 AS rank, sum(least(1 + strlen(substr(text, 1, 200)), 257))::BIGINT AS tokens FROM documents GROUP BY 1")
+@query("packed_totals", "SELECT doc_id % 4 AS rank, sum(least(1 + strlen(text), 257))::BIGINT AS tokens FROM documents GROUP BY 1")
 def packed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No token is lost: contents of padded rows by rank."""
     return packing.packed(_byte_docs(spark, sf_dir), 256, crop=False, pad=256, buffer_size=50, refill=16).groupBy("rank").agg(F.sum("content").alias("tokens"))
 
 
-IDS = "i AS (SELECT item_id, list_transform(range(1, 1 + least(length(text), 40)), lambda k: ascii(text[k])) AS ids FROM benchmark)"
+IDS = "i AS (SELECT item_id, list_transform(string_split(text, ''), lambda c: ascii(c)) AS ids FROM benchmark)"
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = F.transform(F.sequence(F.lit(1), F.least(F.length("text"), F.lit(40))), lambda k: F.ascii(F.substring(F.col("text"), k, F.lit(1))))
+    ids = F.transform(F.filter(F.split("text", ""), lambda c: c != ""), F.ascii)
     return docs(spark, sf_dir, "benchmark").select("item_id", ids.alias("ids"))
 
 
@@ -126,9 +124,9 @@ def shifted_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ids(spark, sf_dir).select("item_id", inputs.alias("inputs"), packing.masked(targets, mask).alias("targets"))
 
 
-@query("padded_sequences", f"WITH {IDS} SELECT item_id, list_concat(ids, list_transform(range(0, 48 - len(ids)), lambda _: 0)) AS padded, ids[greatest(len(ids) - 15, 1):] AS cropped FROM i")
+@query("padded_sequences", f"WITH {IDS} SELECT item_id, list_concat(ids, list_transform(range(0, 4096 - len(ids)), lambda _: 0)) AS padded, ids[greatest(len(ids) - 15, 1):] AS cropped FROM i")
 def padded_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ids(spark, sf_dir).select("item_id", packing.padded(F.col("ids"), F.lit(48), 0).alias("padded"), packing.left_cropped(F.col("ids"), 16).alias("cropped"))
+    return _ids(spark, sf_dir).select("item_id", packing.padded(F.col("ids"), F.lit(4096), 0).alias("padded"), packing.left_cropped(F.col("ids"), 16).alias("cropped"))
 
 
 @query("fixed_batches", "SELECT doc_id // 32 AS batch, count(*) AS n, max(length(text))::INTEGER AS longest FROM documents GROUP BY 1")

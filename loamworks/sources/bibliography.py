@@ -8,14 +8,27 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 
 CUTOFF, SHORTEST = 1985, 50
+NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 
 def untagged(xml: Column) -> Column:
-    """All text below an element: tags out, entities resolved."""
-    text = F.regexp_replace(xml, r"(?s)<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """All text below an element: comments and tags out, CDATA as it stands, named and numeric entities resolved."""
+    pieces = F.regexp_extract_all(xml, F.lit(r"(?s)(<!\[CDATA\[.*?\]\]>|<!--.*?-->|<[^>]*>|&#?\w+;|[^<&]+|[<&])"), F.lit(1))
+
+    def plain(p: Column) -> Column:
+        code = F.coalesce(F.conv(F.nullif(F.regexp_extract(p, r"^&#x([0-9A-Fa-f]{1,6});$", 1), F.lit("")), 16, 10), F.nullif(F.regexp_extract(p, r"^&#([0-9]{1,7});$", 1), F.lit("")))
+        named = p
+        for entity, char in NAMED.items():
+            named = F.when(p == entity, char).otherwise(named)
+        character = F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "utf-32")
+        return (
+            F.when(p.startswith("<![CDATA["), F.regexp_extract(p, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1))
+            .when(p.rlike(r"(?s)^<.+>$"), "")
+            .when(code.cast("int").between(1, 0x10FFFF), character)
+            .otherwise(named)
+        )
+
+    return F.array_join(F.transform(pieces, plain), "")
 
 
 def records(article: Column) -> list[Column]:

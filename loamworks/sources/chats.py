@@ -15,15 +15,17 @@ TYPED = f"array<struct<role:string,content:array<{PART}>>>"
 def parsed(lines: DataFrame, value: str = "value") -> DataFrame:
     """``line, messages, valid``; content may be a string or an array of parts in each message.
 
+    The JSON type decides: a string stays text, whatever it spells.
     Lines that aren't a list of messages get null messages and aren't valid.
     """
-    raw = "array<struct<role:string,content:string>>"
+    raw = "array<struct<role:string,content:variant>>"
     messages = F.from_json(value, raw, {"mode": "PERMISSIVE"})
 
     def one(m):
-        parts = F.from_json(m["content"], f"array<{PART}>")
-        typed = F.ltrim(m["content"]).startswith("[{") & parts.isNotNull()
-        return F.struct(m["role"].alias("role"), F.when(~typed, m["content"]).alias("content"), F.when(typed, parts).alias("parts"))
+        plain = F.schema_of_variant(m["content"]) == "STRING"
+        text = F.when(plain, F.try_variant_get(m["content"], "$", "string"))
+        parts = F.when(~plain, F.from_json(F.to_json(m["content"]), f"array<{PART}>"))
+        return F.struct(m["role"].alias("role"), text.alias("content"), parts.alias("parts"))
 
     rows = lines.filter(F.trim(value) != "").withColumn("messages", F.transform(messages, one).cast(MESSAGES))
     return rows.select(F.col(value).alias("line"), "messages", F.coalesce(valid_chat(F.col("messages")), F.lit(False)).alias("valid"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loamworks.llm import byte_bpe, secrets, setsketch, spaced_seeds, toxicity
 from loamworks.llm.shared import landed, tuned
+from loamworks.storage import discard, written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written before the next reads it."""
+    """All stages over ``documents``; each stage's result is written before the next reads it, and what led to it is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = written()
     for name, stage in STAGES[:-1]:
         docs = landed(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, before, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import bound
+from ..functions.columns import bound
 from .shared import landed
 
 SPACE = r"[\x20\x09-\x0D]+"

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import bound
+from ..functions.columns import bound
 
 #: Found by trying every pair of masks of four words on every pattern of agreement.
 MASKS = ("11101", "100111")

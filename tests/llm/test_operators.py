@@ -718,3 +718,21 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     both = out.join(docs.select("doc_id", F.sha2("text", 256).alias("want")), "doc_id")
     assert both.count() == docs.count() and both.filter("decoded_sha256 <> want or n_tokens <> length(ids) / 4").count() == 0
+
+
+def test_pipeline_run_equals_its_stages(spark):
+    """All of ``run``, and nothing but its last table is left behind."""
+    import corpus_pipeline
+    from loamworks import storage
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.landed(stage(spark, docs, SF), f"again-{name}")
+    enc = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    want = {}
+    for x in docs.collect():
+        ids = np.array(enc.encode_ordinary(x.text or ""), "<u4").tobytes()
+        want[x.doc_id] = (len(ids) // 4, sha(ids), sha((x.text or "").encode()))
+    before = storage.written()
+    got = {x.doc_id: (x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want and storage.written() == before + 1

@@ -109,18 +109,40 @@ def vocabulary(spark, ranks: Mapping[bytes, int], specials: Iterable[str] = ())
     return spark.createDataFrame(rows, "token_id int, bytes binary, is_special boolean, n_bytes int")
 
 
-def encoded(docs: DataFrame, ranks: Mapping[bytes, int], text: str = "text", pattern: str = SPLIT, prepend: int | None = None) -> DataFrame:
-    """``docs`` with ``ids``, by Arrow batches; the coder is built once a task."""
+def special_ids(specials: Iterable[str], n_ranks: int) -> dict[str, int]:
+    """Ids of special tokens, which follow the ranks."""
+    return {s: n_ranks + i for i, s in enumerate(specials)}
+
+
+def token_id(mark: int | str, ranks: Mapping[bytes, int], specials: Iterable[str] = ()) -> int:
+    """An id as it is; a name's id among the special tokens, else among the ranks."""
+    if isinstance(mark, int):
+        return mark
+    named = special_ids(specials, len(ranks))
+    return named[mark] if mark in named else ranks[mark.encode()]
+
+
+def encoded(
+    docs: DataFrame, ranks: Mapping[bytes, int], text: str = "text", pattern: str = SPLIT,
+    prepend: int | str | None = None, append: int | str | None = None, specials: Iterable[str] = (),
+) -> DataFrame:
+    """``docs`` with ``ids``, by Arrow batches; the coder is built once a task.
+
+    Special tokens inside texts are plain text; those to ``prepend`` and
+    ``append`` are given by id or name.  A null text has these alone.
+    """
     import tiktoken
 
+    specials = list(specials)
+    head, tail = ([] if mark is None else [token_id(mark, ranks, specials)] for mark in (prepend, append))
+
     shared = docs.sparkSession.sparkContext.broadcast(dict(ranks))  # a vocabulary is bounded
 
     @F.pandas_udf("array<int>")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
-        head = [] if prepend is None else [prepend]
         for texts in parts:
-            yield texts.map(lambda t: head + coder.encode_ordinary(t or ""))
+            yield texts.map(lambda t: head + coder.encode_ordinary(t or "") + tail)
 
     return docs.withColumn("ids", encode(F.col(text)))
 
@@ -136,12 +158,13 @@ def byte_ids(text: Column, *before: int) -> Column:
     return ids(text)
 
 
-def decoded(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key, text`` of id arrays, by Arrow batches and without a shuffle; special and unknown tokens are left out.
+def decoded(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids", with_specials: bool = False) -> DataFrame:
+    """``key, text`` of id arrays, by Arrow batches and without a shuffle; unknown and, unless asked for, special tokens are left out.
 
     Bytes that are no UTF-8 become U+FFFD.  The vocabulary is read on the driver, as it is bounded.
     """
-    rows = vocab.filter(~F.col("is_special")).select("token_id", "bytes").collect()
+    wanted = vocab if with_specials else vocab.filter(~F.col("is_special"))
+    rows = wanted.select("token_id", "bytes").collect()
     shared = docs.sparkSession.sparkContext.broadcast({r["token_id"]: bytes(r["bytes"]) for r in rows})
 
     @F.pandas_udf("string")
@@ -172,7 +195,7 @@ def load(spark, path: str) -> tuple[dict[bytes, int], list[str]]:
 
 def start_token(specials: Iterable[str], n_ranks: int) -> int:
     """The id of ``<|bos|>``, else of ``<|endoftext|>``."""
-    ids = {s: n_ranks + i for i, s in enumerate(specials)}
+    ids = special_ids(specials, n_ranks)
     for name in ("<|bos|>", "<|endoftext|>"):
         if name in ids:
             return ids[name]

@@ -145,6 +145,20 @@ def epochs(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(n))))
 
 
+def rank_stream(groups: DataFrame, rank: int, world: int, after: tuple[int, int, int] | None = None) -> DataFrame:
+    """A rank's rows of ``groups(epoch, file, row_group, ..)``: every ``world``-th row group of each file.
+
+    ``after`` is the (epoch, file, row_group) that any rank had reached: rows go on at the next stride of that file.
+    """
+    mine = groups.filter(strided(F.col("row_group"), rank, world))
+    if after is None:
+        return mine
+    epoch, file, group = after
+    stride = (group // world + 1) * world
+    here = (F.col("file") > file) | ((F.col("file") == file) & (F.col("row_group") >= stride))
+    return mine.filter((F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & here))
+
+
 def task_slice(df: DataFrame, start: int, stop: int, step: int = 1, index: str = "idx") -> DataFrame:
     """The rows of a dense index from ``start`` up to ``stop`` by ``step``, renumbered."""
     kept = df.filter(strided(F.col(index), start, step) & (F.col(index) < stop))

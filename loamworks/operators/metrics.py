@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import bound
+
 
 def centered(accuracy: Column, baseline: Column) -> Column:
     """Accuracy above a baseline in percent, 1 at best."""
@@ -49,6 +51,57 @@ def common_length(sequences: DataFrame, by: str, ids: str, suffix: bool = False)
     return least.join(differ, by, "left").select(by, F.least("least", F.coalesce("first", "least")).alias("n"))
 
 
+def prompt_spans(prompts: DataFrame, kind: str, item: str = "item", option: str = "option", ids: str = "ids") -> DataFrame:
+    """``item, option, ids, span_start, span_end``: the ids of each prompt whose losses count, end exclusive.
+
+    ``multiple_choice``: after the start that an item's prompts share.
+    ``schema``: the end that they share.  ``language_modeling``: what the
+    prompt of option 1 adds to that of option 0, of which it must be a longer
+    form; the prompts of option 1 are returned.
+    """
+    if kind == "language_modeling":
+        short, long = (F.max(F.when(F.col(option) == k, F.col(ids))) for k in (0, 1))
+        both = prompts.groupBy(item).agg(short.alias("_short"), long.alias("_long"))
+        start, end = F.size("_short"), F.size("_long")
+        longer = (start < end) & (F.slice("_long", F.lit(1), start) == F.col("_short"))
+        checked = F.when(longer, start).otherwise(F.raise_error(F.lit("a prompt must go on from the one without its continuation")).cast("int"))
+        return both.select(item, F.lit(1).alias(option), F.col("_long").alias(ids), checked.alias("span_start"), end.alias("span_end"))
+    if kind not in ("multiple_choice", "schema"):
+        raise ValueError(f"unknown kind of item: {kind}")
+    shared = common_length(prompts, item, ids, suffix=kind == "schema")
+    end = F.size(ids)
+    start = F.col("n") if kind == "multiple_choice" else end - F.col("n")
+    return prompts.join(shared, item).select(item, option, ids, start.alias("span_start"), end.alias("span_end"))
+
+
+def sampled_token(logits: Column, draw: Column, temperature: float = 1.0, top_k: int | None = None) -> Column:
+    """The index chosen by a ``draw`` from 0 to 1 among the softmax of the ``top_k`` largest logits.
+
+    Logits go from the largest to the least, equal ones by index; at
+    temperature 0 it is the first largest.
+    """
+    if temperature < 0:
+        raise ValueError("a temperature isn't negative")
+    if temperature == 0:
+        return (F.array_position(logits, F.array_max(logits)) - 1).cast("int")
+    ranked = F.sort_array(F.transform(logits, lambda x, i: F.struct(x.cast("double").alias("v"), (-i).alias("at"))), asc=False)
+    ranked = F.slice(ranked, 1, top_k) if top_k else ranked
+
+    def weigh(kept: Column) -> Column:
+        return F.transform(kept, lambda p: F.struct(F.exp((p["v"] - kept[0]["v"]) / temperature).alias("w"), (-p["at"]).alias("id")))
+
+    def choose(weights: Column) -> Column:
+        total = F.aggregate(weights, F.lit(0.0), lambda a, p: a + p["w"])
+        return bound(total * draw, lambda goal: walk(weights, goal))
+
+    def walk(weights: Column, goal: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("id"))
+        step = lambda a, p: F.struct((a["sum"] + p["w"]).alias("sum"), F.when(a["id"].isNull() & (a["sum"] + p["w"] >= goal), p["id"]).otherwise(a["id"]).alias("id"))
+        return F.coalesce(F.aggregate(weights, start, step)["id"], F.element_at(weights, -1)["id"])
+
+    return bound(ranked, lambda kept: bound(weigh(kept), choose))
+
+
 def ema(values: Column, beta: float = 0.9) -> Column:
     """Bias-corrected exponential mean of an array in order."""
     start = F.struct(F.lit(0.0).alias("m"), F.lit(1.0).alias("c"))

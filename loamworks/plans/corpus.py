@@ -138,6 +138,16 @@ def rank_batches_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy(F.col("epoch").cast("long").alias("epoch"), "rank").agg(F.countDistinct("row_group").alias("groups"), F.count("*").alias("docs"))
 
 
+@query("resumed_rank_stream", f"""WITH {ROW_GROUPS}, f AS (SELECT e AS epoch, row_group // 6 AS file, row_group % 6 AS row_group, doc_id FROM g, range(1, 3) r(e))
+SELECT epoch, file, row_group, count(*) AS docs FROM f WHERE row_group IN (1, 3, 5) AND (epoch > 1 OR file > 0 OR row_group > 3) GROUP BY ALL""")
+def resumed_rank_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank 1 of 2 goes on after row group 2 of file 0 in the first of two epochs."""
+    groups = C.row_groups(docs(spark, sf_dir).select("doc_id"), "doc_id", 64)
+    files = groups.select("doc_id", F.floor(F.col("row_group") / 6).alias("file"), F.pmod("row_group", F.lit(6)).alias("row_group"))
+    stream = C.rank_stream(C.epochs(files, 2), 1, 2, after=(1, 0, 2))
+    return stream.groupBy(F.col("epoch").cast("long").alias("epoch"), "file", "row_group").agg(F.count("*").alias("docs"))
+
+
 @query("download_plan", "SELECT i AS shard FROM (SELECT i FROM range(0, 20) r(i) UNION SELECT 6542) WHERE i NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
 def download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wanted shards and the last one, less those that are there."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import schedules as H
+from ..operators import bpe
 from ..operators import metrics as X
 from ..registry import query
 from .corpus import docs
@@ -119,6 +120,34 @@ def common_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.common_length(s, "lang", "x").select("lang", F.col("n").cast("int").alias("n"))
 
 
+BYTES = "[256] || list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), (2 * i + 1)::INTEGER, 2))::INTEGER)"
+
+
+@query("prompt_spans", f"""
+WITH b AS (SELECT item_id, n_nationkey AS option, text || ' ' || n_name AS "after", n_name || ' ' || text AS "before", text FROM benchmark JOIN nation ON item_id % 5 = n_regionkey),
+s AS (SELECT 'multiple_choice' AS kind, item_id AS item, option, {BYTES.format('"after"')} AS x FROM b
+      UNION ALL SELECT 'schema', item_id, option, list_reverse({BYTES.format('"before"')}) FROM b),
+p AS (SELECT kind, item, unnest(x) AS w, unnest(range(1, len(x) + 1)) AS i FROM s),
+d AS (SELECT kind, item, min(i) - 1 AS first FROM (SELECT kind, item, i FROM p GROUP BY ALL HAVING min(w) <> max(w)) GROUP BY ALL),
+n AS (SELECT kind, item, least(min(len(x)), coalesce(min(first), min(len(x)))) AS n FROM s LEFT JOIN d USING (kind, item) GROUP BY ALL)
+SELECT kind, item, option::INTEGER AS option, (CASE kind WHEN 'schema' THEN len(x) - n ELSE n END)::INTEGER AS span_start, len(x)::INTEGER AS span_end FROM s JOIN n USING (kind, item)
+UNION ALL SELECT 'language_modeling', item_id * 100 + option, 1, 1 + octet_length(encode(text)), 1 + octet_length(encode("after")) FROM b""")
+def prompt_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the losses of an answer count: after a shared start, in a shared end, after a prompt."""
+    b = docs(spark, sf_dir, "benchmark").join(docs(spark, sf_dir, "nation"), F.pmod("item_id", F.lit(5)) == F.col("n_regionkey"))
+    after, before = F.concat_ws(" ", "text", "n_name"), F.concat_ws(" ", "n_name", "text")
+    item, option = F.col("item_id").alias("item"), F.col("n_nationkey").cast("int").alias("option")
+    choices = b.select(item, option, bpe.byte_ids(after, 256).alias("ids"))
+    schemas = b.select(item, option, bpe.byte_ids(before, 256).alias("ids"))
+    alone = (F.col("item_id") * 100 + F.col("n_nationkey")).alias("item")
+    texts = b.select(alone, F.posexplode(F.array("text", after)).alias("option", "text")).select("item", "option", bpe.byte_ids(F.col("text"), 256).alias("ids"))
+    kinds = {"multiple_choice": choices, "schema": schemas, "language_modeling": texts}
+    first, *others = (X.prompt_spans(rows, kind).select(F.lit(kind).alias("kind"), "item", "option", "span_start", "span_end") for kind, rows in kinds.items())
+    for more in others:
+        first = first.unionByName(more)
+    return first
+
+
 @query("relative_advantage", "WITH r AS (SELECT o_custkey AS g, o_orderkey AS i, (o_orderstatus = 'F')::INTEGER AS reward FROM orders) SELECT i, reward, round(reward - avg(reward) OVER (PARTITION BY g), 9) AS advantage FROM r")
 def relative_advantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = docs(spark, sf_dir, "orders").select(F.col("o_custkey").alias("g"), F.col("o_orderkey").alias("i"), (F.col("o_orderstatus") == "F").cast("int").alias("reward"))
@@ -309,6 +338,18 @@ def top_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir, "embeddings").select("vec_id", (F.array_position(e, F.array_max(e)) - 1).cast("int").alias("best"), top.alias("top"))
 
 
+@query("sampled_tokens", """
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS id FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY v DESC, id) AS place, max(v) OVER (PARTITION BY vec_id) AS most FROM e),
+w AS (SELECT vec_id, id, place, exp((v - most) / 0.7) AS w FROM r WHERE place <= 5),
+c AS (SELECT *, sum(w) OVER (PARTITION BY vec_id ORDER BY place) AS so_far, sum(w) OVER (PARTITION BY vec_id) AS total FROM w)
+SELECT vec_id, min_by(id, place)::INTEGER AS token FROM c WHERE so_far >= total * ((vec_id * 7919 % 1000003) / 1000003.0::DOUBLE) GROUP BY vec_id""")
+def sampled_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of the five largest logits, at temperature 0.7, by a draw that SQL can reproduce."""
+    draw = F.pmod(F.col("vec_id") * 7919, F.lit(1000003)) / F.lit(1000003.0)
+    return docs(spark, sf_dir, "embeddings").select("vec_id", X.sampled_token(F.col("embedding"), draw, 0.7, 5).alias("token"))
+
+
 @query("report_numbers", "SELECT * FROM (VALUES (0.12345678::DOUBLE, '0.1235'), (12345.0, '12,345'), (9999.0, '9999'), (3.0, '3'), (1234567.0, '1,234,567')) t(value, shown)")
 def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(0.12345678,), (12345.0,), (9999.0,), (3.0,), (1234567.0,)], "value double").select("value", X.shown(F.col("value")).alias("shown"))

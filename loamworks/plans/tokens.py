@@ -45,6 +45,16 @@ def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select("doc_id", "lang", "text")
 
 
+@query("marked_ids", """
+SELECT item_id, len(x)::INTEGER AS n, md5(array_to_string(x, ',')) AS digest FROM (SELECT item_id,
+    [256] || list_transform(range(octet_length(encode(text))), lambda i: ('0x' || substr(hex(encode(text)), (2 * i + 1)::INTEGER, 2))::INTEGER) || [10] AS x FROM benchmark)""")
+def marked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of whole texts between a special token and a token of the ranks, both given by name."""
+    ranks = {bytes([i]): i for i in range(256)}
+    coded = bpe.encoded(docs(spark, sf_dir, "benchmark"), ranks, prepend=SPECIALS[0], append="\n", specials=SPECIALS)
+    return coded.select("item_id", F.size("ids").alias("n"), F.md5(F.array_join("ids", ",")).alias("digest"))
+
+
 @query("trained_vocabulary")
 def trained_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.train(_sample(spark, sf_dir), 600, SPECIALS)

@@ -1,7 +1,10 @@
 """Golden rows and brute-force versions of operators that SQL can't express."""
 
+import math
 import random
+from collections import Counter
 
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -258,3 +261,62 @@ def test_report_section(spark, tmp_path):
     df = spark.createDataFrame([("core", 0.25), ("tokens", 123456.0), ("none", 0.0)], "metric string, value double")
     results.write_section(df, str(tmp_path / "r"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "r")).collect()) == ["- core: 0.2500", "- tokens: 123,456"]
+
+
+def test_prompt_spans(spark):
+    df = spark.createDataFrame([(1, 0, [9, 1, 2]), (1, 1, [9, 1, 3, 2])], "item long, option int, ids array<int>")
+    spans = lambda kind, rows=df: {r.option: (r.span_start, r.span_end) for r in metrics.prompt_spans(rows, kind).collect()}
+    assert spans("multiple_choice") == {0: (2, 3), 1: (2, 4)}
+    assert spans("schema") == {0: (2, 3), 1: (3, 4)}
+    longer = spark.createDataFrame([(1, 0, [9, 1]), (1, 1, [9, 1, 3])], df.schema)
+    assert spans("language_modeling", longer) == {1: (2, 3)}
+    same = longer.withColumn("ids", F.array(F.lit(9)))
+    for wrong in (df, same):
+        with pytest.raises(Exception, match="must go on"):
+            spans("language_modeling", wrong)
+    with pytest.raises(ValueError):
+        metrics.prompt_spans(df, "other")
+
+
+def test_sampled_tokens_follow_softmax(spark):
+    logits, n = [0.5, 2.0, -1.0, 2.0, 1.0], 4_000
+    draws = spark.range(n).select(F.array(*map(F.lit, logits)).alias("x"), ((F.col("id") + 0.5) / n).alias("u"))
+    for temperature, k in ((1.0, None), (0.5, 3), (2.0, 9)):
+        got = Counter(r.t for r in draws.select(metrics.sampled_token(F.col("x"), F.col("u"), temperature, k).alias("t")).collect())
+        best = sorted(range(5), key=lambda i: (-logits[i], i))[:k]
+        weight = {i: math.exp(logits[i] / temperature) for i in best}
+        for i in range(5):
+            assert abs(got[i] / n - weight.get(i, 0.0) / sum(weight.values())) < 1e-3
+    greedy = draws.limit(5).select(metrics.sampled_token(F.col("x"), F.col("u"), 0.0).alias("t"))
+    assert {r.t for r in greedy.collect()} == {1}
+    with pytest.raises(ValueError):
+        metrics.sampled_token(F.col("x"), F.col("u"), -1.0)
+
+
+def test_marks_by_name_and_special_text(spark):
+    ranks, names = {bytes([i]): i for i in range(256)}, ["<|bos|>", "<|end|>"]
+    df = spark.createDataFrame([(1, "a<|bos|>"), (2, None)], "doc_id long, text string")
+    coded = bpe.encoded(df, ranks, prepend="<|bos|>", append=257, specials=names)
+    ids = {r.doc_id: r.ids for r in coded.collect()}
+    assert ids == {1: [256, *b"a<|bos|>", 257], 2: [256, 257]}
+    vocab = bpe.vocabulary(spark, ranks, names)
+    assert {r.text for r in bpe.decoded(coded, vocab).collect()} == {"a<|bos|>", ""}
+    assert {r.text for r in bpe.decoded(coded, vocab, with_specials=True).collect()} == {"<|bos|>a<|bos|><|end|>", "<|bos|><|end|>"}
+    assert bpe.token_id("a", ranks, names) == 97
+    with pytest.raises(KeyError):
+        bpe.token_id("<|none|>", ranks, names)
+
+
+def test_rank_stream_goes_on_at_the_next_stride(spark):
+    rows = [(e, f, g) for e in (1, 2) for f in (0, 1) for g in range(5)]
+    df = spark.createDataFrame(rows, "epoch int, file int, row_group int")
+    for after in (None, (1, 0, 0), (1, 0, 1), (1, 0, 4), (1, 1, 2), (2, 1, 4)):
+        for rank in range(2):
+            want, live = [], after is None
+            for e, f in ((e, f) for e in (1, 2) for f in (0, 1)):
+                start = rank
+                if after and (e, f) == after[:2]:
+                    live, start = True, (after[2] // 2 + 1) * 2 + rank
+                want += [(e, f, g) for g in range(start, 5, 2)] if live else []
+            got = sorted(tuple(r) for r in corpus.rank_stream(df, rank, 2, after).collect())
+            assert got == want

@@ -475,6 +475,22 @@ def test_token_counts_equal_a_plain_unigram(spark, odd):
     assert Counter(tuple(x) for x in trie_counts.count(docs, got, public.PATTERN).collect()) == want
 
 
+def test_token_costs_come_from_all_documents(spark):
+    """Words of every one of 3,000 documents are counted, whatever their ids are."""
+    rows = [(i, f"theory {i} of cats and w{i % 7}ords") for i in range(3_000)]
+    split = re.compile(r"\S+")
+    seen = Counter(w.encode() for _, t in rows for w in split.findall(t))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {bytes(x.word): x.n for x in trie_counts.tallied(docs, r"\S+").collect()} == seen
+    costs = trie_counts.first_costs(byte_bpe.read_ranks(RANKS))
+    for _ in range(trie_counts.ROUNDS):
+        again = Counter(dict.fromkeys(costs, 1))
+        for w, n in seen.items():
+            again.update({p: n * k for p, k in Counter(plain_segmentation(costs, w)).items()})
+        costs = trie_counts.costs_of(again)
+    assert trie_counts.fit(docs, RANKS, r"\S+") == costs
+
+
 def test_token_files(spark, odd, tmp_path):
     path = public.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)

@@ -11,9 +11,13 @@ can't reach the similarity, and full shingle sets confirm the rest.
    with the bucket's least class; confirmed links give components.
 3. Rest: in buckets that still hold several components, classes of different
    components (one of them outside the bucket's largest) are compared by size
-   and by two bits of each of the registers; pairs that may be similar leave the
-   join, each from the first bucket it shares, and full sets confirm them.  Pairs inside a component can't change
-   the result, so they are never made.
+   and by two bits of each of the registers, and those that agree by their
+   shingles, cut to 32 bits, in the join's condition.  Only pairs at the
+   similarity leave the join, each from the first bucket it shares, and full
+   sets confirm them; so a family alike by a little less hands on no pairs.
+   Sets of over ``CARRIED`` shingles aren't carried; their pairs go from the two
+   bits to the full sets.  Pairs inside a component can't change the result, so
+   they are never made.
 
 With 32 bands of 4 registers, a pair at similarity 0.75 escapes the bands with
 probability 2.6e-6, and the two-bit comparison with about 2e-7.  No bucket is
@@ -54,6 +58,8 @@ PERCENT = 75
 DOUBT = 16.0
 #: Registers whose two bits may differ in a pair that is still compared: 5.2 deviations at 0.75.
 MOST_DIFFERENT = 257
+#: Shingles of the largest set whose elements go through the join of rest pairs, four bytes each.
+CARRIED = 2_048
 #: Ids that may be broadcast: 16 MB of longs; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -110,6 +116,12 @@ def plausible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> n
     return sizes & (enough >= lik.max(axis=1) - DOUBT)
 
 
+def digest(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set as two longs."""
+    both = xxhash.xxh3_128_digest(hashes.tobytes())
+    return int.from_bytes(both[:8], "little", signed=True), int.from_bytes(both[8:], "little", signed=True)
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """``doc_id, n, d1, d2, regs, signs``: set size, 128-bit digest of the set, registers, two bits of all registers."""
 
@@ -121,10 +133,10 @@ def sketch(docs: DataFrame) -> DataFrame:
             n, d1, d2, regs, marks = [], [], [], [], []
             for text in raw_texts(batch.column("text")):
                 s = shingle_set(text, known)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
+                one, two = digest(s)
                 n.append(len(s))
-                d1.append(int.from_bytes(digest[:8], "little", signed=True))
-                d2.append(int.from_bytes(digest[8:], "little", signed=True))
+                d1.append(one)
+                d2.append(two)
                 own = registers(s) if len(s) else np.empty(0, dtype=np.uint16)
                 regs.append(own[:FULL].tobytes())
                 marks.append(signs(own).tobytes())
@@ -173,9 +185,9 @@ def signs(regs: np.ndarray) -> np.ndarray:
 
 
 def signed(sketches: DataFrame) -> DataFrame:
-    """``id, n``, the signs in ``s0..``, 32 bits of each band's key in ``k0..``."""
+    """``id, n, d1, d2``, the signs in ``s0..``, 32 bits of each band's key in ``k0..``."""
     kind = sketches.schema["id"].dataType.simpleString()
-    names = ["id", "n", *(f"s{i}" for i in range(SIGNS)), *(f"k{i}" for i in range(BANDS))]
+    names = ["id", "n", "d1", "d2", *(f"s{i}" for i in range(SIGNS)), *(f"k{i}" for i in range(BANDS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,10 +195,10 @@ def signed(sketches: DataFrame) -> DataFrame:
                 part = batch.slice(at, 2_000)
                 keys = band_keys(_registers_of(part)).astype(np.int32)
                 marks = np.frombuffer(b"".join(part.column("signs").to_pylist()), dtype=np.int64).reshape(-1, SIGNS)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), *(pa.array(marks[:, i]) for i in range(SIGNS)), *(pa.array(keys[:, i]) for i in range(BANDS))], names)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:4]), *(pa.array(marks[:, i]) for i in range(SIGNS)), *(pa.array(keys[:, i]) for i in range(BANDS))], names)
 
     columns = ", ".join([*(f"s{i} bigint" for i in range(SIGNS)), *(f"k{i} int" for i in range(BANDS))])
-    return sketches.select("id", "n", "regs", "signs").mapInArrow(tidy(run), f"id {kind}, n bigint, {columns}")
+    return sketches.select("id", "n", "d1", "d2", "regs", "signs").mapInArrow(tidy(run), f"id {kind}, n bigint, d1 bigint, d2 bigint, {columns}")
 
 
 def likely(reps: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -249,6 +261,43 @@ def _may_link() -> Column:
     return sizes & (differ <= MOST_DIFFERENT)
 
 
+def prints(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, d1, d2, p``: distinct 32-bit cuts of the shingles of each text of ``ids``; null for a set of over ``CARRIED``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.join((F.broadcast(ids) if few else ids).withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+
+    def make():
+        known = word_cache()
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            known.trim()
+            d1, d2, cuts = [], [], []
+            for text in raw_texts(batch.column("text")):
+                s = shingle_set(text, known)
+                one, two = digest(s)
+                d1.append(one)
+                d2.append(two)
+                cuts.append(np.unique(s.astype(np.uint32)).view(np.int32) if len(s) <= CARRIED else None)
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(cuts, pa.list_(pa.int32()))], ["id", "d1", "d2", "p"])
+
+        return work
+
+    return map_text(texts, make, f"id {kind}, d1 bigint, d2 bigint, p array<int>").dropDuplicates(["id", "d1", "d2"])
+
+
+def _enough_shared() -> Column:
+    """The sets of rows x and y can be at the similarity, or one isn't carried.
+
+    Shingles of one set that fall on the same cut are as many as ``n`` exceeds
+    the cuts, so the cuts that both sets have and the fewer of these are at
+    least the size of the intersection.
+    """
+    lost = F.least(F.col("x.n") - F.size("x.p"), F.col("y.n") - F.size("y.p"))
+    enough = (100 + PERCENT) * (F.size(F.array_intersect("x.p", "y.p")) + lost) >= PERCENT * (F.col("x.n") + F.col("y.n"))
+    return F.col("x.p").isNull() | F.col("y.p").isNull() | enough
+
+
 def _first_shared() -> Column:
     """No band before this one is shared by x and y, so a pair comes once."""
     out = F.lit(True)
@@ -257,16 +306,17 @@ def _first_shared() -> Column:
     return out
 
 
-def rest_pairs(reps: DataFrame, bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and may be similar, once a pair."""
+def rest_pairs(docs: DataFrame, reps: DataFrame, bands: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and are similar by all that the join carries, once a pair."""
     named = bands.join(labels, "id", "left").select("key", "band", "id", F.coalesce("label", "id").alias("label"))
     sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
     # The largest component of a bucket needs no pairs of its own.
     mixed = sizes.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).filter("k > 1").select("key", "main")
     open_rows = landed(named.join(mixed, "key"), "open")
-    signs = signed(reps.join(open_rows.select("id").distinct(), "id", "left_semi"))
+    ids = landed(open_rows.select("id").distinct(), "open")
+    signs = signed(reps.join(ids, "id", "left_semi")).join(prints(docs, ids), ["id", "d1", "d2"], "left").drop("d1", "d2")
     rows = landed(open_rows.join(signs, "id"), "signed")
-    found = rows.filter("label <> main").alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & _may_link() & _first_shared())
+    found = rows.filter("label <> main").alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & _may_link() & _first_shared() & _enough_shared())
     return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
@@ -279,12 +329,12 @@ def groups(docs: DataFrame) -> DataFrame:
     several = classes.filter("c > 1").select("d1", "d2", "rep")
     members = landed(filled.select("doc_id", "n", "d1", "d2").join(several, ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     standing = classes.filter("rep is not null").select(F.col("rep").alias("id"), "d1", "d2")
-    reps = landed(filled.withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "regs", "signs"), "reps")
+    reps = landed(filled.withColumnRenamed("doc_id", "id").join(standing, ["id", "d1", "d2"], "left_semi").select("id", "n", "d1", "d2", "regs", "signs"), "reps")
     bands = landed(banded(reps), "bands")
     first = landed(star_pairs(bands), "stars")
     links = landed(confirmed(docs, landed(likely(reps, first), "candidates")), "links")
     labels = landed(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
-    rest = landed(rest_pairs(reps, bands, labels).join(first, ["a", "b"], "left_anti"), "rest")
+    rest = landed(rest_pairs(docs, reps, bands, labels).join(first, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
         links = links.union(landed(confirmed(docs, landed(likely(reps, rest), "candidates")), "links"))
         labels = landed(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")

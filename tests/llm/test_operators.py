@@ -378,6 +378,29 @@ def test_rest_pairs_go_through_the_likelihood(spark, monkeypatch):
     assert got == slow_groups(rows) and len(seen) == 2
 
 
+@pytest.mark.parametrize("carried", [2_048, 100])
+def test_a_family_below_the_limit_hands_on_links_alone(spark, monkeypatch, carried):
+    """Pairs alike by a little less than 0.75 don't leave the join, unless sets are too large to be carried; results stay."""
+    r = random.Random(43)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for at in r.sample(range(150), r.randint(2, 3)):
+            w[at] = word()
+        rows.append((i, " ".join(w)))
+    seen, rest = [], setsketch.rest_pairs
+    monkeypatch.setattr(setsketch, "rest_pairs", lambda *given: seen.append(rest(*given)) or seen[-1])
+    monkeypatch.setattr(setsketch, "CARRIED", carried)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in setsketch.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == slow_groups(rows)
+    known = shingles.word_cache()
+    sets = [set(shingles.shingle_set(t.encode(), known).tolist()) for _, t in rows]
+    linked = [100 * len(sets[x.a] & sets[x.b]) >= 75 * len(sets[x.a] | sets[x.b]) for x in seen[0].collect()]
+    assert len(linked) > 0 and all(linked) == (carried == 2_048)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 900, dtype=np.uint64)

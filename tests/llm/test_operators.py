@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
+import corpus_pipeline
 from loamworks.llm import byte_bpe, components, dac, langid, line_quality, pseudonyms, queries, secrets, setsketch, shingles, spaced_seeds, toxicity, trie_counts
 
 from ..oracle import differences
@@ -401,6 +402,26 @@ def test_a_family_below_the_limit_hands_on_links_alone(spark, monkeypatch, carri
     assert len(linked) > 0 and all(linked) == (carried == 2_048)
 
 
+def test_the_pipeline_stage_hands_on_links_alone(spark, monkeypatch):
+    """As above through the pipeline's stage, which keeps one text of each group."""
+    r = random.Random(43)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for at in r.sample(range(150), r.randint(2, 3)):
+            w[at] = word()
+        rows.append((i, " ".join(w)))
+    seen, rest = [], setsketch.rest_pairs
+    monkeypatch.setattr(setsketch, "rest_pairs", lambda *given: seen.append(rest(*given)) or seen[-1])
+    left = sorted(x.doc_id for x in corpus_pipeline.without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect())
+    assert left == [i for i, (_, least) in sorted(slow_groups(rows).items()) if i == least]
+    known = shingles.word_cache()
+    sets = [set(shingles.shingle_set(t.encode(), known).tolist()) for _, t in rows]
+    assert all(100 * len(sets[x.a] & sets[x.b]) >= 75 * len(sets[x.a] | sets[x.b]) for x in seen[0].collect())
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 900, dtype=np.uint64)

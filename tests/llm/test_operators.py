@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as public
@@ -535,6 +536,38 @@ def test_token_costs_come_from_all_documents(spark):
     assert trie_counts.fit(docs, RANKS, r"\S+") == costs
 
 
+def test_pre_tokens_equal_those_of_regex():
+    import regex
+
+    assert trie_counts.GPT2 == public.PATTERN
+    split, want = trie_counts.splitter(public.PATTERN), regex.compile(public.PATTERN).findall
+    around = [f"a{c}b 1{c} {c}.{c}{c} '{c}s\n{c}" for c in map(chr, range(0x10000)) if not "\ud800" <= c <= "\udfff"]
+    rng = random.Random(7)
+    mixed = ["".join(rng.choices([" ", "  ", "\n", "\x1c", "\x85", "\u2003", "'", "'ll", "'S", "é", "漢", "½", "word", "7", "_", ".", "😀", "𝐀", "\x00"], k=30)) for _ in range(3_000)]
+    for texts in (around, mixed, [t for t in TEXTS if t]):
+        assert all(split(t) == want(t) for t in texts)
+    assert trie_counts.splitter(r"\S+")("a  b\n") == ["a", "b"]
+
+
+def test_only_texts_beyond_the_bmp_go_through_regex(monkeypatch):
+    """``regex`` takes twice the time of ``re``, so characters that it gets are counted."""
+    import regex
+
+    taken = []
+
+    def compiled(pattern):
+        found = regex.compile(pattern)
+        return SimpleNamespace(findall=lambda text: taken.append(text) or found.findall(text))
+
+    monkeypatch.setattr(trie_counts, "regex", SimpleNamespace(compile=compiled, finditer=regex.finditer))
+    texts = ["The cats' theory isn't 3.14 théories; 漢字", "plain words", "", "a 😀 b"]
+    costs = trie_counts.first_costs(byte_bpe.read_ranks(RANKS))
+    got = trie_counts.Counter(costs, public.PATTERN).counts(texts)
+    want = [regex.findall(public.PATTERN, t) for t in texts]
+    assert got == [(len(ws), sum(len(plain_segmentation(costs, w.encode())) for w in ws)) for ws in want]
+    assert taken == ["a 😀 b"]
+
+
 def test_token_files(spark, odd, tmp_path):
     path = public.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)

@@ -453,6 +453,67 @@ def test_byte_bpe_equals_the_library(spark, odd):
     assert back == {(x.doc_id, x.text or "") for x in odd.collect()}
 
 
+def test_byte_bpe_contracts_words_that_come_again_once(monkeypatch):
+    """Long words of every slice, among 400,000 that come once."""
+    codec = byte_bpe.Codec(RANKS, public.PATTERN)
+    asked = Counter()
+    monkeypatch.setattr(codec, "contract", lambda words: asked.update(words) or [b"four"] * len(words))
+    often = [f" zqlongerwordx{'qzj'[i % 3] * 3}{chr(97 + i)}" for i in range(20)]
+    once = iter(range(400_000))
+    for _ in range(40):
+        codec.encode(["".join(often), "".join(" qzxk" + str(n).translate(str.maketrans("0123456789", "qzxjkvwbpf")) for n in itertools.islice(once, 10_000))])
+    assert len(asked) > 390_000
+    assert {asked[w.encode()] for w in often} == {1}
+
+
+def test_byte_bpe_forgets_words_and_gives_the_same_ids(monkeypatch):
+    """With a small cache ids are the library's, and what is kept is bounded, also by long words."""
+    enc = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    monkeypatch.setattr(byte_bpe, "KEPT_BYTES", 40_000)
+    codec = byte_bpe.Codec(RANKS, public.PATTERN)
+    for k in range(30):
+        texts = ["".join(f" again{chr(97 + i)}zq" for i in range(20)), "".join(f" qzx{chr(97 + k % 26)}{chr(97 + i)}wk{'j' * (k // 26)}" for i in range(26)) * 2, "", "漢" * (3_000 if k == 20 else 3 + k)]
+        packed = codec.encode(texts)
+        assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [enc.encode_ordinary(t) for t in texts]
+        assert codec.decode(packed) == [t.encode() for t in texts]
+        kept = [sum(byte_bpe.ENTRY_BYTES + x.__sizeof__() + y.__sizeof__() for x, y in words.items()) for words in (codec.known, codec.older)]
+        assert sum(kept) <= 40_000 + (50_000 if k >= 20 else 10_000)
+    assert sum(kept) <= 50_000
+
+
+def test_byte_bpe_splits_by_re_where_it_can(monkeypatch):
+    """``regex`` takes twice the time of ``re``, so the texts that it gets are counted."""
+    import regex
+
+    taken = []
+
+    def compiled(pattern):
+        found = regex.compile(pattern)
+        return SimpleNamespace(findall=lambda text: taken.append(text) or found.findall(text))
+
+    counted = SimpleNamespace(compile=compiled, finditer=regex.finditer)
+    monkeypatch.setattr(byte_bpe, "regex", counted, raising=False)
+    monkeypatch.setattr(trie_counts, "regex", counted)
+    texts = ["The cats' theory isn't 3.14 théories; 漢字", "plain words", "", "a 😀 b"]
+    codec = byte_bpe.Codec(RANKS, public.PATTERN)
+    assert codec.decode(codec.encode(texts)) == [t.encode() for t in texts]
+    assert taken == ["a 😀 b"]
+
+
+def test_byte_bpe_decodes_across_queries(monkeypatch):
+    """Sequences that begin, end or are empty at a query's edge; ids that no piece has."""
+    codec = byte_bpe.Codec(RANKS, public.PATTERN)
+    texts = ["", "", "one text of some words", "", "漢字かな交じり", "x", "", "a longer text, with nearly twenty tokens, or more", "", ""]
+    packed = codec.encode(texts)
+    for rows in (1, 2, 3, 5, 7, 1_000):
+        monkeypatch.setattr(byte_bpe, "ROWS_A_DECODE", rows)
+        for part in (packed, packed[2:], packed[3:4], packed[:1], []):
+            assert codec.decode(part) == [texts[packed.index(p)].encode() for p in part]
+        for bad in ([2**31 - 1], [2**31 - 1] * 9, [97, 2**31 - 1, 98], [2**32 - 1]):
+            with pytest.raises(ValueError):
+                codec.decode([packed[2], np.array(bad, "<u4").tobytes(), packed[4]])
+
+
 def test_byte_bpe_of_long_words_equals_the_library(monkeypatch):
     """Unbroken words, many rounds, and pieces that start merges of lower rank, under the worker's memory limit."""
     core = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})._core_bpe

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import landed
+from ..storage import discard, landed, written
 
-#: Distinct words of the merge loop: some 10 GB on the driver.
-MOST_WORDS = 20_000_000
+#: Bytes of distinct words up to which the driver merges; more are merged by rounds of tasks.
+DRIVER_BYTES = 1_000_000
+#: Symbols of a chunk of words and bytes of words of a task; below so many symbols, a table holds the counts of all pairs.
+CHUNK, TASK_BYTES, DENSE = 1 << 18, 1 << 24, 2_048
+#: Pairs that the driver sees in a round, and rounds after which the merged words are written.
+MOST_PAIRS, ROUNDS = 4_096, 8
 
 # Fixed value: the split pattern of texts into words to be merged.
 SPLIT = r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,2}| ?[^\s\p{L}\p{N}]++[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"""
@@ -82,20 +88,179 @@ def learn_merges(counts: Mapping[bytes, int] | Iterable[tuple[bytes, int]], n_me
     return merges
 
 
+def certain(pairs: Sequence[tuple[bytes, bytes, int]], most: int, known: Iterable[bytes]) -> list[tuple[bytes, bytes]]:
+    """The next merges, ``most`` at most, as far as the counts of ``pairs``, most frequent first, settle them.
+
+    A merge lowers the counts of pairs that end in its left or begin with its
+    right symbol; a new pair stands where one of these stood, so none is more
+    frequent.  Up to the first of these all others are in place.  A merge whose
+    bytes are ``known`` adds to an old symbol's pairs, and one of a symbol with
+    itself makes pairs of its own: nothing is certain beyond these.
+    """
+    floor = pairs[-1][2] if len(pairs) >= MOST_PAIRS else 0  # unseen pairs may be as frequent
+    chosen: list[tuple[bytes, bytes]] = []
+    known, lefts, rights = set(known), set(), set()
+    for i, (left, right, n) in enumerate(pairs):
+        if len(chosen) == most:
+            break
+        if chosen:
+            same = i
+            while same < len(pairs) and pairs[same][2] == n and not (pairs[same][0] in rights or pairs[same][1] in lefts):
+                same += 1
+            if n <= floor or (same < len(pairs) and pairs[same][2] == n):
+                break
+        chosen.append((left, right))
+        if left == right or left + right in known:
+            break
+        known.add(left + right)
+        lefts.add(left)
+        rights.add(right)
+    return chosen
+
+
+def _merged(parts: np.ndarray, merges: Iterable[tuple[int, int, int]]) -> np.ndarray:
+    """``parts`` after merges ``left, right, new`` that nowhere overlap each other."""
+    gone = []
+    for left, right, new in merges:
+        at = np.flatnonzero((parts[:-1] == left) & (parts[1:] == right))
+        if left == right and len(at):  # in a run, every second place from its start
+            start = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, at, 0))
+            at = at[(at - start) % 2 == 0]
+        if len(at):
+            if not gone:
+                parts = parts.copy()
+            parts[at] = new
+            gone.append(at + 1)
+    return np.delete(parts, np.concatenate(gone)) if gone else parts
+
+
+def _open(parts: np.ndarray, weights: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Without the words of one symbol, in which nothing is left to merge."""
+    sizes = np.diff(np.flatnonzero(parts == end), prepend=-1)
+    return parts[np.repeat(sizes > 2, sizes)], weights[sizes > 2]
+
+
+def _kind(end: int) -> type:
+    return np.uint16 if end < 1 << 16 else np.uint32
+
+
+def _chunks(words: DataFrame, end: int) -> DataFrame:
+    """``word, n`` with many words a row: ``parts`` has their bytes as symbols, each word closed by ``end``, ``weights`` their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def row() -> pa.RecordBatch:
+            blobs = [np.concatenate(x).tobytes() for x in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=["parts", "weights"])
+
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(0)).to_numpy().astype(np.int64)
+            parts = np.full(sizes.sum() + len(sizes), end, _kind(end))
+            parts[np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)), sizes)] = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
+            held.append((parts, batch.column(1).to_numpy()))
+            if sum(len(p) for p, _ in held) >= CHUNK:
+                yield row()
+                held = []
+        if held:
+            yield row()
+
+    return words.select(F.encode("word", "utf-8"), F.col("n").cast("long")).mapInArrow(run, "parts binary, weights binary")
+
+
+def _chunked(batches: Iterator[pa.RecordBatch], rounds: list[list[tuple[int, int, int]]], end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and counts of each chunk after the merges of ``rounds``."""
+    for batch in batches:
+        for blob, counts in zip(batch.column(0), batch.column(1), strict=True):
+            parts = np.frombuffer(blob.as_buffer(), _kind(end))
+            for merges in rounds:
+                parts = _merged(parts, merges)
+            yield parts, np.frombuffer(counts.as_buffer(), np.int64)
+
+
+def _advanced(chunks: DataFrame, rounds: list[list[tuple[int, int, int]]], end: int) -> DataFrame:
+    """``chunks`` after the merges of ``rounds``, without words that are done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts, weights in _chunked(batches, rounds, end):
+            blobs = [x.tobytes() for x in _open(parts, weights, end)]
+            if blobs[0]:
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blobs], names=["parts", "weights"])
+
+    return chunks.mapInArrow(run, chunks.schema)
+
+
+def _pairs(chunks: DataFrame, rounds: list[list[tuple[int, int, int]]], pieces: list[bytes], end: int) -> DataFrame:
+    """``left, right, n`` of adjacent symbols, by their bytes, after the merges of ``rounds``."""
+    side = end + 1
+
+    def rows(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        inside = (codes // side != end) & (codes % side != end)
+        left, right = ([pieces[i] for i in x[inside].tolist()] for x in (codes // side, codes % side))
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(n[inside].astype(np.int64))], names=["left", "right", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * side if side <= DENSE else 0)
+        for parts, weights in _chunked(batches, rounds, end):
+            codes = parts[:-1].astype(np.int64) * side + parts[1:]
+            n = weights[np.cumsum(parts == end)[:-1]]
+            if side <= DENSE:
+                total += np.bincount(codes, n, side * side)
+            else:
+                codes, at = np.unique(codes, return_inverse=True)
+                yield rows(codes, np.bincount(at, n))
+        if side <= DENSE:
+            codes = np.flatnonzero(total)
+            yield rows(codes, total[codes])
+
+    return chunks.mapInArrow(run, "left binary, right binary, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
+def merges_by_rounds(words: DataFrame, n_merges: int) -> list[tuple[bytes, bytes]]:
+    """The merges of ``learn_merges`` over ``word, n`` that stay with the executors.
+
+    Each round counts the pairs of all words and takes the merges that these
+    counts settle; the driver sees ``MOST_PAIRS`` of them and the vocabulary.
+    """
+    spark, end, before = words.sparkSession, 256 + n_merges, written()
+    size = words.agg(F.sum(F.octet_length("word"))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    chunks = landed(_chunks(words.repartition(tasks, "word"), end), "parts")
+    ids = {bytes([i]): i for i in range(256)}
+    merges: list[tuple[bytes, bytes]] = []
+    rounds: list[list[tuple[int, int, int]]] = []
+    while len(merges) < n_merges:
+        top = _pairs(chunks, rounds, list(ids), end).orderBy(F.desc("n"), "left", "right").limit(MOST_PAIRS).collect()
+        found = certain([(bytes(r["left"]), bytes(r["right"]), r["n"]) for r in top], n_merges - len(merges), ids)
+        if not found:
+            break
+        merges += found
+        rounds.append([(ids[left], ids[right], ids.setdefault(left + right, len(ids))) for left, right in found])
+        if len(rounds) == ROUNDS:
+            chunks = landed(_advanced(chunks, rounds, end), "parts")
+            discard(spark, before, keep=1)
+            rounds = []
+    discard(spark, before)
+    return merges
+
+
 def train(docs: DataFrame, vocab_size: int, specials: Iterable[str] = (), text: str = "text", least: int = 1) -> dict[bytes, int]:
     """Ranks of a vocabulary of ``vocab_size`` with room for ``specials``.
 
-    Counting is distributed; the merge loop works on the driver, on distinct
-    words seen at least ``least`` times, of which there may be ``MOST_WORDS``.
+    Counting is distributed.  Distinct words seen at least ``least`` times are
+    merged on the driver up to ``DRIVER_BYTES``, beyond by rounds of tasks.
     """
     n_merges = vocab_size - 256 - len(list(specials))
     if n_merges < 0:
         raise ValueError("a vocabulary needs 256 bytes and its special tokens")
+    spark, before = docs.sparkSession, written()
     counts = landed(word_counts(docs, text).filter(F.col("n") >= least), "words")
-    if (n := counts.count()) > MOST_WORDS:
-        raise ValueError(f"{n} distinct words are more than the driver takes; raise least")
-    rows = counts.orderBy("word").toLocalIterator()
-    merges = learn_merges([(r["word"].encode(), r["n"]) for r in rows], n_merges)
+    if (counts.agg(F.sum(F.octet_length("word"))).first()[0] or 0) > DRIVER_BYTES:
+        merges = merges_by_rounds(counts, n_merges)
+    else:
+        rows = counts.orderBy("word").toLocalIterator()
+        merges = learn_merges([(r["word"].encode(), r["n"]) for r in rows], n_merges)
+    discard(spark, before)
     ranks = {bytes([i]): i for i in range(256)}
     for left, right in merges:
         ranks.setdefault(left + right, len(ranks))

@@ -84,6 +84,37 @@ def test_merges_equal_recounting():
     assert bpe.learn_merges(words, 12) == want
 
 
+def test_merges_by_rounds_equal_the_drivers(spark, monkeypatch):
+    r = random.Random(11)
+    words = Counter("".join(r.choice("aaabbcdé漢 ") for _ in range(r.randint(1, 14))) for _ in range(400))
+    want = bpe.learn_merges({w.encode(): n for w, n in words.items()}, 25)
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    for pairs, rounds, chunk, dense in ((4096, 8, 1 << 18, 2048), (7, 2, 64, 0)):
+        for name, value in {"MOST_PAIRS": pairs, "ROUNDS": rounds, "CHUNK": chunk, "DENSE": dense}.items():
+            monkeypatch.setattr(bpe, name, value)
+        assert bpe.merges_by_rounds(df, 25) == want
+    few = spark.createDataFrame([("aaaaa", 3), ("ab", 3), ("x", 9)], "word string, n long")
+    assert bpe.merges_by_rounds(few, 9) == bpe.learn_merges({b"aaaaa": 3, b"ab": 3, b"x": 9}, 9)
+
+
+def test_certain_merges_stop_at_what_they_change(monkeypatch):
+    pairs = [(b"a", b"b", 9), (b"c", b"d", 8), (b"a", b"e", 7), (b"b", b"f", 7), (b"g", b"h", 6)]
+    assert bpe.certain(pairs, 9, []) == [(b"a", b"b"), (b"c", b"d")]
+    assert bpe.certain(pairs, 1, []) == [(b"a", b"b")]
+    assert bpe.certain(pairs, 9, [b"ab"]) == [(b"a", b"b")]
+    assert bpe.certain([(b"a", b"a", 9), (b"c", b"d", 8)], 9, []) == [(b"a", b"a")]
+    monkeypatch.setattr(bpe, "MOST_PAIRS", 2)
+    assert bpe.certain(pairs[:2], 9, []) == [(b"a", b"b")]
+
+
+def test_driver_merges_few_words_only(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"word{i} wörter {i * i}") for i in range(300)], "doc_id long, text string")
+    want = bpe.train(df, 300)
+    monkeypatch.setattr(bpe, "DRIVER_BYTES", 100)
+    monkeypatch.setattr(bpe, "learn_merges", lambda *_: pytest.fail("all words came to the driver"))
+    assert list(bpe.train(df, 300).items()) == list(want.items())
+
+
 def test_encode_is_lossless(spark):
     texts = ["Hello world! 123, 4567, 89", "don't you'll  spaces\n\n\nlines ", "漢字 😀 naïve", "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

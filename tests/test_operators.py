@@ -61,6 +61,37 @@ def test_packed_targets_are_masked(spark):
     assert row.inputs == [9, 1, 2, 9, 3, 9] and row.targets == [-1, 2, -1, 3, -1, -1] and row.content == 5 and row.names == [1, 2]
 
 
+def test_packed_rows_equal_each_ranks_own(spark):
+    r = random.Random(5)
+    docs = [(k % 3, k // 2, [r.randint(0, 99) for _ in range(n)], [r.randint(0, 1) for _ in range(n)]) for k, n in enumerate(r.randint(0, 40) for _ in range(150))]
+    docs = [(rank, 2 * name + (k % 2), ids, mask) for k, (rank, name, ids, mask) in enumerate(docs)]
+    df = spark.createDataFrame(docs, "rank int, doc_id long, ids array<int>, mask array<int>").repartition(5)
+    for crop in (True, False):
+        got = {(x.rank, x.row): tuple(x)[2:] for x in packing.packed(df, 20, crop=crop, pad=7, buffer_size=9, refill=4).collect()}
+        plain = {(x.rank, x.row): tuple(x)[2:] for x in packing.packed(df.drop("mask"), 20, crop=crop, pad=7, buffer_size=9, refill=4).collect()}
+        want, unmasked = {}, {}
+        for rank in range(3):
+            own = ((d[2], d[3], d[1]) for d in docs if d[0] == rank)
+            for n, (ids, mask, content, names, sizes) in enumerate(packing.pack(own, 21, 9, 4, crop, 7)):
+                ends = [i + 1 < content for i in range(20)]
+                want[rank, n] = (ids[:-1], [t if m and e else -1 for t, m, e in zip(ids[1:], mask[1:], ends)], content, names, sizes)
+                unmasked[rank, n] = (ids[:-1], [t if e else -1 for t, e in zip(ids[1:], ends)], content, names, sizes)
+        assert got == want and plain == unmasked
+
+
+def _task_of_a_rank(rows):
+    """What the task that packs a rank reads, down to the table."""
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow") :].splitlines()[1:]
+    return " ".join(below[: next(i for i, line in enumerate(below) if "Relation" in line)])
+
+
+def test_the_task_of_a_rank_reads_lengths_only(spark):
+    df = spark.range(40).select("id", (F.col("id") % 2).alias("rank"), F.col("id").alias("doc_id"), F.array_repeat(F.lit(1), 300).alias("ids"))
+    read = _task_of_a_rank(packing.packed(df, 20))
+    assert "rank#" in read and "size#" in read and "ids#" not in read
+
+
 def test_merges_equal_recounting():
     words = {b"low": 5, b"lower": 2, b"newest": 6, b"widest": 3, b"aaaa": 4}
     parts = {w: [bytes([b]) for b in w] for w in words}

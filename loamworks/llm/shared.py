@@ -1,18 +1,6 @@
 """The shared folder, cut-off points for lineage, and the batch size of queries here."""
 
-from pyspark.sql import SparkSession
-
+from ..session import tuned
 from ..storage import landed, shared_dir
 
 __all__ = ["landed", "shared_dir", "tuned"]
-
-#: Rows of an Arrow batch: whole texts make rows large.
-ROWS_A_BATCH = 1_000
-
-
-def tuned(spark: SparkSession) -> SparkSession:
-    """The session with Arrow batches of at most ``ROWS_A_BATCH`` rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name, "10000")) <= ROWS_A_BATCH:
-        spark.conf.set(name, str(ROWS_A_BATCH))
-    return spark

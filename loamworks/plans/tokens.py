@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.conversation import SPECIALS
 from ..operators import bpe, packing
 from ..registry import query
+from ..session import tuned
 from .corpus import docs
 
 # DuckDB's expressions have no look-ahead: a run of white space before a word gives its last
@@ -42,7 +43,7 @@ def byte_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", "lang", "text")
+    return docs(tuned(spark), sf_dir).select("doc_id", "lang", "text")
 
 
 @query("marked_ids", """
@@ -97,7 +98,7 @@ def tokenizer_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _byte_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as byte ids after a start token, dealt to four ranks."""
-    return docs(spark, sf_dir).select("doc_id", F.pmod("doc_id", F.lit(4)).alias("rank"), bpe.byte_ids(F.col("text"), 256).alias("ids"))
+    return docs(tuned(spark), sf_dir).select("doc_id", F.pmod("doc_id", F.lit(4)).alias("rank"), bpe.byte_ids(F.col("text"), 256).alias("ids"))
 
 
 @query("best_fit_crop")

@@ -92,6 +92,16 @@ def test_the_task_of_a_rank_reads_lengths_only(spark):
     assert "rank#" in read and "size#" in read and "ids#" not in read
 
 
+def test_whole_texts_go_to_python_in_small_batches(spark):
+    from loamworks.plans import tokens
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for of in (tokens._byte_docs, tokens._sample):
+        spark.conf.set(name, "10000")
+        of(spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(name)) <= 1_000
+
+
 def test_merges_equal_recounting():
     words = {b"low": 5, b"lower": 2, b"newest": 6, b"widest": 3, b"aaaa": 4}
     parts = {w: [bytes([b]) for b in w] for w in words}

@@ -109,6 +109,13 @@ def test_names_and_sizes_of_packed_rows_need_no_ids(spark):
     assert sorted(tuple(r.x) for r in rows.collect()) == [(i, 21) for i in range(40)]
 
 
+def test_totals_of_packed_rows_need_no_ids(spark):
+    df = spark.range(40).select("id", (F.col("id") % 2).alias("rank"), F.col("id").alias("doc_id"), F.array_repeat(F.lit(1), 300).alias("ids"))
+    rows = packing.packed(df, 20, crop=False).groupBy("rank").agg(F.sum("content").alias("n"))
+    assert not [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "ids#" in x and "Relation" not in x]
+    assert sorted(map(tuple, rows.collect())) == [(0, 420), (1, 420)]
+
+
 def test_merges_equal_recounting():
     words = {b"low": 5, b"lower": 2, b"newest": 6, b"widest": 3, b"aaaa": 4}
     parts = {w: [bytes([b]) for b in w] for w in words}

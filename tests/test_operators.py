@@ -116,6 +116,11 @@ def test_totals_of_packed_rows_need_no_ids(spark):
     assert sorted(map(tuple, rows.collect())) == [(0, 420), (1, 420)]
 
 
+def test_a_smaller_vocabulary_is_the_larger_ones_start(spark):
+    df = spark.createDataFrame([(f"{i * i} word{i}", 1 + i % 5) for i in range(80)], "word string, n long")
+    assert bpe.merges_by_rounds(df, 12)[:5] == bpe.merges_by_rounds(df, 5)
+
+
 def test_merges_equal_recounting():
     words = {b"low": 5, b"lower": 2, b"newest": 6, b"widest": 3, b"aaaa": 4}
     parts = {w: [bytes([b]) for b in w] for w in words}

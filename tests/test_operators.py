@@ -121,6 +121,13 @@ def test_a_smaller_vocabulary_is_the_larger_ones_start(spark):
     assert bpe.merges_by_rounds(df, 12)[:5] == bpe.merges_by_rounds(df, 5)
 
 
+def test_training_by_rounds_leaves_no_tables(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "DRIVER_BYTES", 0)
+    before = bpe.written()
+    ranks = bpe.train(spark.createDataFrame([(1, "a banana and a bandana")], "doc_id long, text string"), 262, ["<|bos|>"])
+    assert len(ranks) == 261 and bpe.written() == before
+
+
 def test_merges_equal_recounting():
     words = {b"low": 5, b"lower": 2, b"newest": 6, b"widest": 3, b"aaaa": 4}
     parts = {w: [bytes([b]) for b in w] for w in words}
